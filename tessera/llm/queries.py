@@ -5,12 +5,14 @@ from .langid import op3_language_id
 from .linededup import OP6_SQL, op6_line_dedup
 from .media import op1_media_columns
 from .neardup import OP2_SQL, op2_minhash_near_dedup
+from .suffixdedup import op4_suffix_dedup
 from .urlfilter import op8_url_filters
 
 QUERIES = {
     "op1_media_columns": op1_media_columns,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_language_id": op3_language_id,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_line_dedup": op6_line_dedup,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_url_filters": op8_url_filters,
