@@ -5,9 +5,10 @@ partitions. A new batch is merge-joined with the runs so far, which tells the li
 from repeats, and is then added as a run of level 0; as soon as a level has `fanout` runs they are merged into one run of the
 next level. A table of any size is thus taken in batch after batch, each line hash being rewritten once a level.
 
-All of it is DataFrame operations. Hashes are distinct within a document before they are exploded, and counting has a
-map-side combine, so that a line which a third of all documents holds is one row from each task. The join that applies
-the result is a sort-merge join whose hot keys adaptive execution splits. Texts are shuffled once, at the end.
+All of it is DataFrame operations. Lines are hashed once, into a table of document ids and hashes. Hashes are distinct
+within a document before they are exploded, and counting has a map-side combine, so that a line which a third of all
+documents holds is one row from each task. The join that applies the result is a sort-merge join whose hot keys
+adaptive execution splits. Texts are shuffled once, at the end.
 """
 
 from __future__ import annotations
@@ -25,19 +26,10 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _hashes(key: Column) -> Column:
-    """128 bits of two hashes with different seeds."""
-    return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit(1), key).alias("b"))
-
-
-def keyed(text: Column, min_chars: int) -> Column:
-    """Of each line: the hash of its key, or null where the key is too short."""
-
-    def one(line: Column) -> Column:
-        key = ascii_lower(F.btrim(line, F.lit(BLANK)))
-        return F.when(F.char_length(key) >= min_chars, _hashes(key))
-
-    return F.transform(lines_of(text), one)
+def hashed_lines(text: Column, min_chars: int) -> Column:
+    """Of each line: 128 bits of its key (two hashes with different seeds), or null where the key is too short."""
+    keys = F.transform(lines_of(ascii_lower(text)), lambda line: F.btrim(line, F.lit(BLANK)))
+    return F.transform(keys, lambda k: F.when(F.char_length(k) >= min_chars, F.struct(F.xxhash64(k).alias("a"), F.xxhash64(F.lit(1), k).alias("b"))))
 
 
 class LineRuns:
@@ -54,20 +46,20 @@ class LineRuns:
             out = out.unionByName(r)
         return out
 
-    def add(self, docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHARS) -> DataFrame:
-        """Take in one batch of whole documents; returns its new run, where `fresh` marks lines that no run had."""
-        hashes = F.array_distinct(F.filter(keyed(F.col(text), min_chars), lambda h: h.isNotNull()))
-        rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode(hashes).alias("h")).select("h.a", "h.b", "doc_id")
-        batch = rows.groupBy("a", "b").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("holder"))
+    def add(self, batch: DataFrame, doc_id: str, hashes: str) -> None:
+        """Take in one batch of whole documents, given the hashed lines of each. In its run `fresh` marks the lines that
+        no run had."""
+        each = F.explode(F.array_distinct(F.filter(hashes, lambda h: h.isNotNull())))
+        rows = batch.select(F.col(doc_id).alias("doc_id"), each.alias("h")).select("h.a", "h.b", "doc_id")
+        own = rows.groupBy("a", "b").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("holder"))
         seen = self._all()
         if seen is None:
-            run = batch.withColumn("fresh", F.lit(True))
+            run = own.withColumn("fresh", F.lit(True))
         else:
             old = seen.filter("fresh").select("a", "b", F.lit(True).alias("old"))  # each hash is fresh in one run
-            run = batch.join(old.hint("merge"), ["a", "b"], "left").withColumn("fresh", F.col("old").isNull()).drop("old")
+            run = own.join(old.hint("merge"), ["a", "b"], "left").withColumn("fresh", F.col("old").isNull()).drop("old")
         run = self.scratch.write(run.sortWithinPartitions("a", "b"))
         self._push(run, 0)
-        return run
 
     def _push(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
@@ -104,12 +96,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
-    runs = LineRuns(spark, fanout)
-    dealt = F.pmod(F.xxhash64(F.lit(7), F.col(doc_id)), F.lit(batches))
+    scratch = Scratch(spark, "lines")
+    hashed = scratch.write(docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_of"), hashed_lines(F.col(text), min_chars).alias("h")))
+    runs = LineRuns(spark, fanout, scratch)
+    dealt = F.pmod(F.xxhash64(F.lit(7), "_id", "_of"), F.lit(batches))
     for k in range(batches):
-        runs.add(docs.filter(dealt == k), doc_id, text, min_chars)
-    often = runs.totals().filter(F.col("n_docs") >= min_docs).select("a", "b", "holder")
-    rows = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_of"), F.posexplode(keyed(F.col(text), min_chars)).alias("_at", "h")).filter("h is not null").select("_id", "_of", "_at", "h.a", "h.b")
+        runs.add(hashed.filter(dealt == k), "_id", "h")
+    often = scratch.write(runs.totals().filter(F.col("n_docs") >= min_docs).select("a", "b", "holder"))
+    rows = hashed.select("_id", "_of", F.posexplode("h").alias("_at", "l")).filter("l is not null").select("_id", "_of", "_at", "l.a", "l.b")
     hit = rows.join(often, ["a", "b"]).filter(F.col("holder").isNotNull() & (F.col("_id").isNull() | (F.col("_id") < F.col("holder"))))
     gone = hit.groupBy("_id", "_of").agg(F.collect_set("_at").alias("_gone"))
     both = docs.withColumn("_of", F.xxhash64(text)).join(gone.withColumnRenamed("_of", "_of2"), F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_of2")), "left")
