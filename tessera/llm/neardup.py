@@ -8,10 +8,11 @@ sets of 5-word shingles before it becomes a link.
 
 How it scales: documents with equal sets are one representative from the start. A left or right value that only one
 representative has can meet nobody, so it is dropped before pairs of values are made. In a bucket each member is
-first held against one leader only, links are contracted to components, and what remains are pairs across components: all of
-them in small buckets, and in large ones those that share one of their rarest shingles (an exact prefix filter). So a
-group of n near copies costs about n comparisons, and nothing is capped or dropped. Intermediate tables live in the
-shared folder; components are found by repeated contraction on the executors.
+first held against one leader only, and links are contracted to components; then those outside the bucket's largest component
+against further members of that. What remains are pairs across components. A sketch of each set (the parities of its
+shingles in 1024 classes) bounds from below how far two sets differ, and rules out nearly all pairs that are not similar
+inside the join. So a group of n near copies costs about n comparisons, and nothing is capped or dropped. Intermediate
+tables live in the shared folder; components are found by repeated contraction on the executors.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from pyspark.sql import functions as F
 from .common import Scratch, WordIds, mix64, shingle_hashes, table
 
 WIDTH, SIMILAR, SIDES = 5, 75, 8
-#: Buckets of up to so many members are compared across components in full, larger ones through rare shingles.
-SMALL_BUCKET = 64
-SIGNATURE = "doc_id long, n_shingles long, s1 long, s2 long, left array<long>, right array<long>"
+#: Further leaders of a bucket before all pairs across its components are compared, and bits of a set's sketch.
+LEADERS, ODD = 2, 1024
+SIGNATURE = "doc_id long, n_shingles long, s1 long, s2 long, left array<long>, right array<long>, odd array<long>"
 
 
 def shingles(raw: bytes | None, ids: WordIds) -> np.ndarray:
@@ -51,6 +52,12 @@ def minhashes(hashes: np.ndarray, sides: int) -> np.ndarray:
         return mix64(mix64(low[0::2]) + low[1::2])
 
 
+def sketch(hashes: np.ndarray) -> list[int]:
+    """The parity of the number of hashes in each of ODD classes, packed into longs."""
+    odd = np.bincount((hashes >> np.uint64(7)) % np.uint64(ODD), minlength=ODD) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def signatures(docs: DataFrame, doc_id: str, text: str, sides: int = SIDES) -> DataFrame:
     def run(batches):
         import pyarrow as pa
@@ -59,15 +66,15 @@ def signatures(docs: DataFrame, doc_id: str, text: str, sides: int = SIDES) -> D
         ids = WordIds()
         signed = lambda x: int(np.uint64(x).view(np.int64))
         for batch in batches:
-            rows = {k: [] for k in ("n", "s1", "s2", "left", "right")}
+            rows = {k: [] for k in ("n", "s1", "s2", "left", "right", "odd")}
             for cell in batch.column(1):
                 s = shingles(cell.as_py(), ids)
                 whole = xxhash.xxh3_128_intdigest(s.tobytes())
                 both = minhashes(s, sides).view(np.int64).tolist() if len(s) else []
-                for k, v in (("n", len(s)), ("s1", signed(whole >> 64)), ("s2", signed(whole & (1 << 64) - 1)), ("left", both[:sides]), ("right", both[sides:])):
+                for k, v in (("n", len(s)), ("s1", signed(whole >> 64)), ("s2", signed(whole & (1 << 64) - 1)), ("left", both[:sides]), ("right", both[sides:]), ("odd", sketch(s))):
                     rows[k].append(v)
             long, longs = pa.int64(), pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(v, longs if k in ("left", "right") else long) for k, v in rows.items()]], names=["doc_id", "n_shingles", "s1", "s2", "left", "right"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(v, longs if k in ("left", "right", "odd") else long) for k, v in rows.items()]], names=["doc_id", "n_shingles", "s1", "s2", "left", "right", "odd"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("raw")).mapInArrow(run, SIGNATURE)
 
@@ -133,29 +140,28 @@ def _sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFra
     return have.join(wanted, "rep").mapInArrow(run, "rep long, s binary")
 
 
-def _rare_pairs(big: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Pairs across components among big (rep, n, comp) that share one of their rarest shingles: a document's first
-    n - ceil(similar/100 * n) + 1 in order of rarity, at least one of which similar sets share."""
+def _apart(x, y, n, m, similar: int):
+    """True where the sketches prove that two sets are not similar: each shingle that only one set has flips one bit."""
+    bits = F.lit(0)
+    for k in range(ODD // 64):
+        bits = bits + F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k))))
+    return bits * (100 + similar) > (n + m) * (100 - similar)
 
-    def explode(batches):
-        import pyarrow as pa
 
-        for batch in batches:
-            for rep, s in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                h = np.frombuffer(s.as_buffer(), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), rep)), pa.array(h)], names=["rep", "h"])
+def _main(placed: DataFrame) -> DataFrame:
+    """Of buckets with several components: the one with the most members (then the largest)."""
+    each = placed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("k"))
+    return each.filter("k > 1").select("key", F.col("m.comp").alias("main"))
+
+
+def _minor(mixed: DataFrame) -> DataFrame:
+    return mixed.filter("comp <> main").select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("odd").alias("odd2"))
 
-    rows = sets.join(big.select("rep"), "rep", "left_semi").select("rep", "s").mapInArrow(explode, "rep long, h long")
-    rarity = rows.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
-    from pyspark.sql import Window
 
-    ranked = rows.join(rarity, "h", "left").withColumn("k", F.row_number().over(Window.partitionBy("rep").orderBy(F.coalesce("df", F.lit(1)), "h")))
-    need = ranked.filter("df is not null").join(big, "rep").filter(F.col("k") <= F.col("n") - F.ceil(F.col("n") * similar / 100) + 1).select("h", "rep", "n", "comp")
-    main = need.groupBy("h", "comp").agg(F.count("*").alias("c")).groupBy("h").agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("k")).filter("k > 1").select("h", F.col("m.comp").alias("main"))
-    mixed = need.join(main, "h")
-    minor = mixed.filter("comp <> main").select("h", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    met = mixed.join(minor, "h").filter((F.col("comp") != F.col("comp2")) & _sizes_fit(F.col("n"), F.col("n2"), similar))
-    return met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+def _met(mixed: DataFrame, others: DataFrame, similar: int) -> DataFrame:
+    """Pairs of different components in a bucket that their sizes and sketches let be similar."""
+    may = (F.col("comp") != F.col("comp2")) & _sizes_fit(F.col("n"), F.col("n2"), similar) & ~_apart(F.col("odd"), F.col("odd2"), F.col("n"), F.col("n2"), similar)
+    return mixed.join(others, "key").filter(may).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: int = SIMILAR, sides: int = SIDES) -> DataFrame:
@@ -169,7 +175,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     scratch = Scratch(docs.sparkSession, "near")
     sig = scratch.write(signatures(docs, doc_id, text, sides))
     some = sig.filter("n_shingles > 0 and doc_id is not null")
-    reps = scratch.write(some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right")))
+    reps = scratch.write(some.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right"), F.first("odd").alias("odd")))
 
     # Values that at least two representatives have, then pairs of a left and a right one.
     single = reps.select("rep", "n", F.posexplode(F.concat("left", "right")).alias("k", "v"))
@@ -178,8 +184,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     left, right = F.filter("vs", lambda x: x.k < sides), F.filter("vs", lambda x: x.k >= sides)
     pairs = F.flatten(F.transform(left, lambda x: F.transform(right, lambda y: F.xxhash64(x.k, x.v, y.k, y.v))))
     keys = scratch.write(live.select("rep", "n", F.explode(pairs).alias("key")))
-    bucket = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("lead")).filter("size > 1")
-    members = scratch.write(keys.join(bucket, "key").select("key", "rep", "n", "size", F.col("lead.rep").alias("leader"), F.col("lead.n").alias("ln")))
+    bucket = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("lead")).filter("size > 1").drop("size")
+    members = scratch.write(keys.join(bucket, "key").select("key", "rep", "n", F.col("lead.rep").alias("leader"), F.col("lead.n").alias("ln")))
 
     wanted = members.select("rep").distinct()
     sets = scratch.write(_sets(docs, doc_id, text, wanted))
@@ -187,19 +193,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = scratch.write(_confirm(star, sets, similar))
     label = components(links, scratch)
 
-    # What a leader cannot tell: pairs across components.
-    placed = members.select("key", "rep", "n", "size").join(label.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key")
-    rest = scratch.write(placed.join(mixed, "key"))
-    small = rest.filter(F.col("size") <= SMALL_BUCKET).drop("size")
-    other = small.select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    met = small.join(other, "key").filter((F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")) & _sizes_fit(F.col("n"), F.col("n2"), similar)).select(F.col("rep").alias("a"), F.col("rep2").alias("b")).distinct()
-    big = scratch.write(rest.filter(F.col("size") > SMALL_BUCKET).select("rep", "n", "comp").distinct())
-    if not big.isEmpty():
-        met = met.unionByName(_rare_pairs(big, sets, similar)).distinct()
-    met = scratch.write(met.join(star, ["a", "b"], "left_anti"))
-    if not met.isEmpty():
-        label = components(scratch.write(links.unionByName(_confirm(met, sets, similar))), scratch)
+    # What a leader cannot tell: pairs across components. First a few further leaders for each bucket, then all.
+    seen = star
+    for k in range(LEADERS + 1):
+        placed = members.select("key", "rep", "n").join(label.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+        mixed = scratch.write(placed.join(_main(placed), "key").join(reps.select("rep", "odd"), "rep"))
+        if k < LEADERS:
+            order = F.struct(F.xxhash64(F.lit(k), "key", "rep"), F.struct("rep", "n", "comp", "odd").alias("x"))
+            lead = mixed.filter("comp = main").groupBy("key").agg(F.max(order).alias("m")).select("key", F.col("m.x.rep").alias("rep2"), F.col("m.x.n").alias("n2"), F.col("m.x.comp").alias("comp2"), F.col("m.x.odd").alias("odd2"))
+            met = _met(mixed.filter("comp <> main"), lead, similar)
+        else:
+            met = _met(mixed, _minor(mixed), similar)
+        met = scratch.write(met.join(seen, ["a", "b"], "left_anti"))
+        if not met.isEmpty():
+            links = scratch.write(links.unionByName(_confirm(met, sets, similar)))
+            label = components(links, scratch)
+            seen = seen.unionByName(met)
 
     of_set = reps.select("s1", "s2", "rep").join(label.withColumnRenamed("node", "rep"), "rep", "left").select("s1", "s2", F.coalesce("comp", "rep").alias("component_id"))
     out = sig.select("doc_id", "n_shingles", "s1", "s2").join(of_set, ["s1", "s2"], "left")
