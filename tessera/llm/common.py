@@ -50,6 +50,13 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def aside(df: DataFrame, taken: set[str]) -> tuple[DataFrame, list[Column]]:
+    """df with the columns whose names are taken put under other names, and the select that gives df's columns back."""
+    name = {c: f"__aside_{k}" if c.lower() in taken else c for k, c in enumerate(df.columns)}
+    moved = df.select(*[F.col(f"`{c}`").alias(n) for c, n in name.items()])
+    return moved, [F.col(f"`{n}`").alias(c) for c, n in name.items()]
+
+
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
@@ -94,5 +101,5 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         out = np.full(n, np.uint64(width))
         for k in range(width):
-            out = mix64(out ^ (words[k : k + n] * _STEP[k])) + _STEP[k]
-    return out
+            out += words[k : k + n] * _STEP[k]
+    return mix64(out)

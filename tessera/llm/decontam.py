@@ -12,8 +12,6 @@ documents never move. Memory: a batch of documents and one block.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +19,13 @@ from pyspark.sql import functions as F
 from .common import Scratch, WordIds, shingle_hashes, table
 
 WINDOW, WIDTH = 10, 5
-WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: Maps A-Z to a-z and all bytes that are in no word to blanks.
+FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 HITS = "hits array<struct<from:int,to:int>>"
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
-    return WORD.findall((raw or b"").lower())
+    return (raw or b"").translate(FOLD).split()
 
 
 class Windows:
@@ -89,7 +88,6 @@ def _rarity(docs: DataFrame, text: str, block: Windows) -> dict[int, int]:
 
 def _marked(docs: DataFrame, text: str, block: Windows, counts: dict[int, int]) -> DataFrame:
     prefixes, window, items = block.prefixes(counts), block.window, block.items
-    width = len(docs.columns)
     at_text = docs.columns.index(text)
 
     def run(batches):
@@ -98,7 +96,6 @@ def _marked(docs: DataFrame, text: str, block: Windows, counts: dict[int, int])
         ids = WordIds()
         for batch in batches:
             n_words, hits, named = [], [], []
-            old = batch.to_pydict() if batch.num_columns > width else None
             for cell in batch.column(at_text):
                 raw = cell.as_py()
                 words = words_of(raw.encode() if isinstance(raw, str) else raw)
@@ -120,11 +117,10 @@ def _marked(docs: DataFrame, text: str, block: Windows, counts: dict[int, int])
                 n_words.append(len(words))
                 hits.append(merged)
                 named.append(sorted(got))
-            del old
             span = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_words, pa.int64()), pa.array(hits, span), pa.array(named, pa.list_(pa.string()))], names=[*batch.schema.names, "_n", "_hits", "_items"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_words, pa.int64()), pa.array(hits, span), pa.array(named, pa.list_(pa.string()))], names=[*batch.schema.names, "__n", "__hits", "__items"])
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], "_n long", f"_{HITS}", "_items array<string>"])
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], "__n long", f"__{HITS}", "__items array<string>"])
     return docs.mapInArrow(run, schema)
 
 
@@ -148,10 +144,10 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
         counts = _rarity(docs, text, block) if block.window else {}
         one = _marked(docs if out is None else out, text, block, counts)
         if out is not None:
-            both = F.array_sort(F.concat("hits", "_hits"))
-            one = one.withColumns({"hits": _united(both), "items": F.array_sort(F.array_union("items", "_items"))}).drop("_n", "_hits", "_items")
+            both = F.array_sort(F.concat("hits", "__hits"))
+            one = one.withColumns({"hits": _united(both), "items": F.array_sort(F.array_union("items", "__items"))}).drop("__n", "__hits", "__items")
         else:
-            one = one.withColumnsRenamed({"_n": "n_words", "_hits": "hits", "_items": "items"})
+            one = one.withColumnsRenamed({"__n": "n_words", "__hits": "hits", "__items": "items"})
         out = scratch.write(one) if k < blocks - 1 else one
     return out
 

@@ -97,21 +97,21 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
     scratch = Scratch(spark, "lines")
-    hashed = scratch.write(docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_of"), hashed_lines(F.col(text), min_chars).alias("h")))
+    hashed = scratch.write(docs.select(F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__of"), hashed_lines(F.col(text), min_chars).alias("h")))
     runs = LineRuns(spark, fanout, scratch)
-    dealt = F.pmod(F.xxhash64(F.lit(7), "_id", "_of"), F.lit(batches))
+    dealt = F.pmod(F.xxhash64(F.lit(7), "__id", "__of"), F.lit(batches))
     for k in range(batches):
-        runs.add(hashed.filter(dealt == k), "_id", "h")
+        runs.add(hashed.filter(dealt == k), "__id", "h")
     often = scratch.write(runs.totals().filter(F.col("n_docs") >= min_docs).select("a", "b", "holder"))
-    rows = hashed.select("_id", "_of", F.posexplode("h").alias("_at", "l")).filter("l is not null").select("_id", "_of", "_at", "l.a", "l.b")
-    hit = rows.join(often, ["a", "b"]).filter(F.col("holder").isNotNull() & (F.col("_id").isNull() | (F.col("_id") < F.col("holder"))))
-    gone = hit.groupBy("_id", "_of").agg(F.collect_set("_at").alias("_gone"))
-    both = docs.withColumn("_of", F.xxhash64(text)).join(gone.withColumnRenamed("_of", "_of2"), F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_of") == F.col("_of2")), "left")
-    lines, gone_at = lines_of(F.col(text)), F.coalesce("_gone", F.array().cast("array<int>"))
+    rows = hashed.select("__id", "__of", F.posexplode("h").alias("__at", "l")).filter("l is not null").select("__id", "__of", "__at", "l.a", "l.b")
+    hit = rows.join(often, ["a", "b"]).filter(F.col("holder").isNotNull() & (F.col("__id").isNull() | (F.col("__id") < F.col("holder"))))
+    gone = hit.groupBy("__id", "__of").agg(F.collect_set("__at").alias("__gone"))
+    both = docs.withColumn("__of", F.xxhash64(text)).join(gone.withColumnRenamed("__of", "__of2"), F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__of2")), "left")
+    lines, gone_at = lines_of(F.col(text)), F.coalesce("__gone", F.array().cast("array<int>"))
     both = both.withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_dropped", F.size(gone_at).cast("long"))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone_at)
     kept = F.when(F.col("n_dropped") == 0, F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    return both.withColumn(out, kept).drop("_id", "_of", "_of2", "_gone")
+    return both.withColumn(out, kept).drop("__id", "__of", "__of2", "__gone")
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
