@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, table
+from tessera.llm.common import Scratch, aside, table
 from tessera.llm.decontam import mark_benchmark
 from tessera.llm.langid import UNKNOWN, held_out, predict, train
 from tessera.llm.linededup import dedup_lines
@@ -18,34 +18,42 @@ from tessera.llm.neardup import near_duplicates
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text or no letter) go; lang becomes the predicted one."""
+    """Documents without a language (no text or no letter) go; lang becomes the predicted one. Where no document has a
+    lang to learn from, all stay as they are."""
+    moved, back = aside(docs, {"lang_pred", "score"})
     model = train(docs.filter(~held_out()).select("lang", "text"))
-    out = predict(docs, model).filter(F.col("lang_pred") != UNKNOWN) if model.langs else docs
-    return out.withColumn("lang", F.col("lang_pred")).select(*docs.columns) if model.langs else out
+    if not model.langs:
+        return docs
+    out = predict(moved, model).filter(F.col("lang_pred") != UNKNOWN)
+    return out.withColumn("lang", F.col("lang_pred")).select(*back)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents of which nothing but white space is left; n_chars follows the text."""
-    out = dedup_lines(docs).filter((F.col("n_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != ""))
-    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    moved, back = aside(docs, {"n_lines", "n_dropped"})
+    out = dedup_lines(moved).filter((F.col("n_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != ""))
+    return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*back)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id."""
-    found = near_duplicates(docs)
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id.cast("long") == F.col("_gone"), "left_anti").select(*docs.columns)
+    found = near_duplicates(docs.select("doc_id", "text"))
+    gone = found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs.doc_id.cast("long") == F.col("__gone"), "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a window of a benchmark item go."""
-    return mark_benchmark(docs, table(spark, sf_dir, "benchmark")).filter(F.size("hits") == 0).select(*docs.columns)
+    moved, back = aside(docs, {"n_words", "hits", "items"})
+    return mark_benchmark(moved, table(spark, sf_dir, "benchmark")).filter(F.size("hits") == 0).select(*back)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with rates and copies; those with no copy in the mix go."""
+    """Documents with n_tokens, domain, rate and copies, which replace columns of these names; those with no copy in the
+    mix go."""
     out = mix(docs, domain_labels(table(spark, sf_dir, "labels"))).filter(F.col("copies") > 0)
-    return out.select(*docs.columns, "n_tokens", "domain", "rate", "copies")
+    new = ["n_tokens", "domain", "rate", "copies"]
+    return out.select(*[c for c in docs.columns if c.lower() not in {*new, "posterior"}], *new)
 
 
 STAGES = [("language", language), ("lines", lines), ("near", near), ("decontaminate", decontaminate), ("mixing", mixing)]

@@ -53,31 +53,29 @@ class LangModel:
         return v - top - math.log(np.exp(v - top).sum())
 
 
-class Scorer:
-    """Scores texts; remembers the words of this worker in a table that is emptied when full."""
+class Scorer(dict):
+    """Scores texts; remembers the words of this worker, as word -> row of a table that is emptied when full."""
 
     def __init__(self, model: LangModel, limit: int = 200_000):
+        super().__init__()
         self.model, self.limit = model, limit
-        self.rows, self.at = np.zeros((limit, max(1, len(model.langs)))), {}
+        self.rows = np.zeros((limit, max(1, len(model.langs))))
 
-    def _row(self, word: str) -> int:
-        k = self.at.get(word)
-        if k is None:
-            k = self.at[word] = len(self.at)
-            self.rows[k] = self.model.word(word)
+    def __missing__(self, word: str) -> int:
+        self[word] = k = len(self)
+        self.rows[k] = self.model.word(word)
         return k
 
     def score(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.model.langs or not any(c.isalpha() for c in text):
+        if not text or not self.model.langs or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
-        words, total, n = WORD.findall(text.lower()), np.zeros(len(self.model.langs)), 0
+        words, total = WORD.findall(text.lower()), np.zeros(len(self.model.langs))
         for k in range(0, len(words), 50_000):
             piece = words[k : k + 50_000]
-            if len(self.at) + len(piece) > self.limit:
-                self.at.clear()
-            total += self.rows[[self._row(w) for w in piece]].sum(0)
-            n += len(piece)
-        total = total * min(1.0, VOTES / max(1, n))
+            if len(self) + len(piece) > self.limit:
+                self.clear()
+            total += self.rows[np.fromiter(map(self.__getitem__, piece), np.intp, len(piece))].sum(0)
+        total = total * min(1.0, VOTES / max(1, len(words)))
         p = np.exp(total - total.max())
         best = int(np.argmax(p))
         return self.model.langs[best], float(p[best] / p.sum())
@@ -120,7 +118,7 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", max_docs:
     grams = counts.select("lang", "n", marked.alias("m")).select("lang", "n", "m", F.explode(F.array(*[F.lit(k) for k in range(1, LONGEST + 1)])).alias("k"))
     grams = grams.filter(F.length("m") >= F.col("k")).select("lang", "k", "n", F.explode(F.expr("transform(sequence(1, length(m) - k + 1), i -> substring(m, i, k))")).alias("word"))
     both = counts.select("lang", F.lit(0).alias("k"), "word", "n").unionByName(grams.groupBy("lang", "k", "word").agg(F.sum("n").alias("n")).select("lang", "k", "word", "n"))
-    best = both.withColumn("r", F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "word"))).filter((F.col("r") <= max_grams) | (F.col("k") == 0) & (F.col("r") <= max_words))
+    best = both.withColumn("r", F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "word"))).filter(F.col("r") <= F.when(F.col("k") == 0, max_words).otherwise(max_grams))
     kept = best.select("lang", "k", "word", "n").collect()  # a bounded number for each language
     langs = sorted({r["lang"] for r in kept})
     at = {x: k for k, x in enumerate(langs)}

@@ -321,9 +321,9 @@ def sniff_media(df: DataFrame, media: str, declared: str, out: str = "sniffed")
 def carve(df: DataFrame, media: str, sniffed_col: str = "sniffed") -> DataFrame:
     """One row for each embedded file, with df's other columns, its type, offset, length and bytes."""
     keep = [c for c in df.columns if c not in (media, sniffed_col)]
-    one = df.select(*[F.col(f"`{c}`") for c in keep], F.col(media).alias("_media"), F.explode(f"{sniffed_col}.embedded").alias("_e"))
-    cut = F.substring("_media", (F.col("_e.offset") + 1).cast("int"), F.col("_e.length").cast("int"))
-    return one.select(*[F.col(f"`{c}`") for c in keep], F.col("_e.mime").alias("carved_mime"), F.col("_e.offset").alias("carved_offset"), F.col("_e.length").alias("carved_length"), cut.alias("carved"))
+    one = df.select(*[F.col(f"`{c}`") for c in keep], F.col(media).alias("__media"), F.explode(f"{sniffed_col}.embedded").alias("__file"))
+    cut = F.substring("__media", (F.col("__file.offset") + 1).cast("int"), F.col("__file.length").cast("int"))
+    return one.select(*[F.col(f"`{c}`") for c in keep], F.col("__file.mime").alias("carved_mime"), F.col("__file.offset").alias("carved_offset"), F.col("__file.length").alias("carved_length"), cut.alias("carved"))
 
 
 def _le32(n: Column) -> Column:

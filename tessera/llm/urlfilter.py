@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, table
 
-FEATURES = ["f_length", "f_host_length", "f_path_length", "f_depth", "f_labels", "f_digit_ratio", "f_host_digit_ratio", "f_entropy", "f_params", "f_hyphens", "f_other_ratio", "f_secure", "f_fragment", "f_suffix1", "f_suffix2", "f_first"]
+FEATURES = ["__f_length", "__f_host_length", "__f_path_length", "__f_depth", "__f_labels", "__f_digit_ratio", "__f_host_digit_ratio", "__f_entropy", "__f_params", "__f_hyphens", "__f_other_ratio", "__f_secure", "__f_fragment", "__f_suffix1", "__f_suffix2", "__f_first"]
 #: Allow and block rules as (verdict, host, path).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -69,22 +69,22 @@ def with_features(df: DataFrame, url: str, stats: dict[str, list[float]]) -> Dat
     k = len(stats["suffix1"])
     look = lambda name, bucket: F.element_at(F.array(*[F.lit(x) for x in stats[name]]), bucket + 1)
     return df.withColumns({
-        "f_length": n.cast("double"),
-        "f_host_length": F.length(host).cast("double"),
-        "f_path_length": F.length(path).cast("double"),
-        "f_depth": (F.size(F.split(path, "/")) - 1).cast("double"),
-        "f_labels": F.size(F.split(host, r"\.")).cast("double"),
-        "f_digit_ratio": _ratio(u, "[^0-9]"),
-        "f_host_digit_ratio": _ratio(host, "[^0-9]"),
-        "f_entropy": entropy,
-        "f_params": F.coalesce(F.size(F.split(query, "&")).cast("double"), F.lit(0.0)),
-        "f_hyphens": (F.length(host) - F.length(F.replace(host, F.lit("-"), F.lit("")))).cast("double"),
-        "f_other_ratio": _ratio(u, "[A-Za-z0-9]"),
-        "f_secure": u.startswith("https:").cast("double"),
-        "f_fragment": (F.instr(u, "#") > 0).cast("double"),
-        "f_suffix1": look("suffix1", _suffix_bucket(host, 1, k)),
-        "f_suffix2": look("suffix2", _suffix_bucket(host, 2, k)),
-        "f_first": look("first", _first(path, k)),
+        "__f_length": n.cast("double"),
+        "__f_host_length": F.length(host).cast("double"),
+        "__f_path_length": F.length(path).cast("double"),
+        "__f_depth": (F.size(F.split(path, "/")) - 1).cast("double"),
+        "__f_labels": F.size(F.split(host, r"\.")).cast("double"),
+        "__f_digit_ratio": _ratio(u, "[^0-9]"),
+        "__f_host_digit_ratio": _ratio(host, "[^0-9]"),
+        "__f_entropy": entropy,
+        "__f_params": F.coalesce(F.size(F.split(query, "&")).cast("double"), F.lit(0.0)),
+        "__f_hyphens": (F.length(host) - F.length(F.replace(host, F.lit("-"), F.lit("")))).cast("double"),
+        "__f_other_ratio": _ratio(u, "[A-Za-z0-9]"),
+        "__f_secure": u.startswith("https:").cast("double"),
+        "__f_fragment": (F.instr(u, "#") > 0).cast("double"),
+        "__f_suffix1": look("suffix1", _suffix_bucket(host, 1, k)),
+        "__f_suffix2": look("suffix2", _suffix_bucket(host, 2, k)),
+        "__f_first": look("first", _first(path, k)),
     })
 
 
@@ -176,9 +176,9 @@ def judge(df: DataFrame, url: str, model: UrlModel, rules=RULES) -> DataFrame:
     """df with host, path, rule, verdict and the model's margin. A null or empty URL, or one without "://", has empty
     parts and gets the model's verdict. Columns of df with these names are replaced."""
     one = with_parts(df, url)
-    one = with_features(one.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules)), url, model.stats).withColumn("margin", model.margin())
-    said = F.coalesce(F.col("_rule.verdict"), F.when(F.col("margin") > 0, "block").otherwise("allow"))
-    return one.withColumn("rule", F.col("_rule.rule")).withColumn("verdict", said).drop("_rule", *FEATURES)
+    one = with_features(one.withColumn("__rule", rule_of(F.col("host"), F.col("path"), rules)), url, model.stats).withColumn("margin", model.margin())
+    said = F.coalesce(F.col("__rule.verdict"), F.when(F.col("margin") > 0, "block").otherwise("allow"))
+    return one.withColumn("rule", F.col("__rule.rule")).withColumn("verdict", said).drop("__rule", *FEATURES)
 
 
 def op8_url_filters(spark, sf_dir: str) -> DataFrame:
