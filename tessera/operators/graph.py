@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import InvalidArgumentError
+from ..sources.store import written
 
 
 def _directed(edges: DataFrame, direction: str) -> DataFrame:
@@ -42,12 +43,16 @@ def traverse(edges: DataFrame, starts: DataFrame, start: str, least: int = 1, mo
 
 def neighbors(edges: DataFrame, starts: DataFrame, start: str, most: int = 1, direction: str = "outbound") -> DataFrame:
     """(start, vertex, depth): each vertex once for each start, at its smallest depth. The frontier holds a vertex once,
-    so hubs and cycles cost no more than their edges."""
-    steps = _directed(edges, direction).select("_a", "_b").distinct()
+    so hubs and cycles cost no more than their edges. Each level is written to the shared folder, so that plans stay
+    small, and the search ends with the first empty level."""
+    steps = written(_directed(edges, direction).select("_a", "_b").distinct())
     seen = starts.select(F.col(start).alias("start")).filter("start is not null").distinct().select("start", F.col("start").alias("vertex"), F.lit(0).alias("depth"))
-    front = seen
+    front = seen = written(seen)
     for k in range(1, most + 1):
-        front = front.join(steps, F.col("vertex") == F.col("_a")).select("start", F.col("_b").alias("vertex"), F.lit(k).alias("depth")).distinct().join(seen, ["start", "vertex"], "left_anti").select("start", "vertex", "depth")
+        next_ = front.join(steps, F.col("vertex") == F.col("_a")).select("start", F.col("_b").alias("vertex"), F.lit(k).alias("depth")).distinct()
+        front = written(next_.join(seen.select("start", "vertex"), ["start", "vertex"], "left_anti").select("start", "vertex", "depth"))
+        if front.isEmpty():
+            break
         seen = seen.unionByName(front)
     return seen
 

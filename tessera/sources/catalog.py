@@ -9,7 +9,7 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,7 +46,7 @@ class Collection:
     shard: str | None = None
     order: str | None = None
     rows: Callable[[], int] | None = None
-    views: dict = field(default_factory=dict)
+    json: str | None = None
 
     def documents(self) -> DataFrame:
         return self.source() if callable(self.source) else self.source
@@ -72,7 +72,7 @@ class Engine:
         if json is not None:
             given = source
             source = lambda: (given() if callable(given) else given).withColumn("doc", F.try_parse_json(json))
-        self.create_database(database).databases[database][name] = Collection(source, edge, sharding, shard, order, rows)
+        self.create_database(database).databases[database][name] = Collection(source, edge, sharding, shard, order, rows, json)
         return self
 
     def register_path(self, database: str, name: str, path: str, format: str = "parquet", **options) -> Engine:
@@ -124,13 +124,15 @@ class Engine:
         return columns
 
     def sample(self, found: Collection) -> list[dict]:
-        """At most schema_sample_size documents, on the driver."""
+        """At most schema_sample_size documents, on the driver. JSON text keeps the order of its fields; a VARIANT has its
+        fields in the order of their names."""
         df, n = found.documents(), self.config.schema_sample_size
         if self.config.schema_sample_random:
             df = df.orderBy(F.rand())
         elif found.order:
             df = df.orderBy(found.order)
-        texts = df.select(F.to_json("doc").alias("j")).filter("j is not null").limit(n).collect()
+        there = df.filter(F.col("doc").isNotNull())
+        texts = there.select((F.col(found.json) if found.json else F.to_json("doc")).alias("j")).limit(n).collect()
         return [d for r in texts if isinstance(d := decode(r["j"]), dict)]
 
     def _declared(self, database: str, name: str) -> list[DeclaredField] | None:

@@ -28,3 +28,11 @@ def stored_documents(spark: SparkSession, key: str, name: str, make) -> DataFram
         make().withColumn("doc", F.try_parse_json("json")).drop("json").write.parquet(path)
         _stored[at] = path
     return spark.read.parquet(_stored[at])
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back: cuts the lineage, and survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
