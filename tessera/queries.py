@@ -90,17 +90,17 @@ def engine(spark: SparkSession, sf: str, config: EngineConfig | None = None) ->
         ]
         return spark.createDataFrame(rows, "json string")
 
-    def stored(name: str, make: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
-        return lambda: stored_documents(spark, sf, name, make)
+    def stored(name: str, make: Callable[[], DataFrame], small: bool = False) -> Callable[[], DataFrame]:
+        return lambda: stored_documents(spark, sf, name, make, small)
 
     e = Engine(spark, config)
     e.register("shop", "items", stored("items", items), shard="shard", sharding=Sharding(("0", "1", "2", "3")))
     e.register("shop", "sales", stored("sales", sales), order="at")
     e.register("shop", "orders_declared", stored("orders_declared", declared))
     e.register("shop", "people", stored("people", people))
-    e.register("shop", "places", stored("places", places))
-    e.register("shop", "lies_in", stored("lies_in", edges), edge=True)
-    e.register("shop", e.config.schema_collection, stored("overrides", overrides))
+    e.register("shop", "places", stored("places", places, True))
+    e.register("shop", "lies_in", stored("lies_in", edges, True), edge=True)
+    e.register("shop", e.config.schema_collection, stored("overrides", overrides, True))
     return e
 
 

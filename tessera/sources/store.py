@@ -20,12 +20,18 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def stored_documents(spark: SparkSession, key: str, name: str, make) -> DataFrame:
-    """The documents of make() (JSON text in `json`, and other columns), written once in a session as `doc`."""
+def stored_documents(spark: SparkSession, key: str, name: str, make, small: bool = False) -> DataFrame:
+    """The documents of make() (JSON text in `json`, and other columns), written once in a session as `doc`; into one
+    file if small, else into as many files as there are cores at least."""
     at = (spark.sparkContext.applicationId, key, name)
     if at not in _stored:
         path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}/{name}"
-        make().withColumn("doc", F.try_parse_json("json")).drop("json").write.parquet(path)
+        df, cores = make(), spark.sparkContext.defaultParallelism
+        if small:
+            df = df.coalesce(1)
+        elif df._jdf.queryExecution().toRdd().getNumPartitions() < cores:
+            df = df.repartition(cores)
+        df.withColumn("doc", F.try_parse_json("json")).drop("json").write.parquet(path)
         _stored[at] = path
     return spark.read.parquet(_stored[at])
 
