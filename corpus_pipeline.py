@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, aside, table
+from tessera.llm.common import Scratch, aside, spread, table
 from tessera.llm.decontam import mark_benchmark
 from tessera.llm.langid import UNKNOWN, held_out, predict, train
 from tessera.llm.linededup import dedup_lines
@@ -62,7 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
+    docs, scratch = spread(table(spark, sf_dir, "documents")), Scratch(spark, "pipeline")
     for _, stage in STAGES[:-1]:
-        docs = scratch.write(stage(spark, docs, sf_dir))
+        docs = spread(scratch.write(stage(spark, docs, sf_dir)))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -16,6 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores. Only a small table, of fewer files than cores, is dealt out
+    anew; a large one is left as its files are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors see; a temporary one only where none is configured (local runs)."""
     root = spark.conf.get("spark.checkpoint.dir", None)

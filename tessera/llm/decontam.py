@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordIds, shingle_hashes, table
+from .common import Scratch, WordIds, shingle_hashes, spread, table
 
 WINDOW, WIDTH = 10, 5
 #: Maps A-Z to a-z and all bytes that are in no word to blanks.
@@ -169,7 +169,7 @@ def n_hit(hits: str = "hits"):
 
 
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     out = mark_benchmark(docs, table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 

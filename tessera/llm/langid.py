@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, spread, table
 
 WORD = re.compile(r"[^\W\d_]+")
 LONGEST = 5
@@ -157,6 +157,6 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     model = train(docs.filter(~held_out()).select("lang", "text"))
     return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")

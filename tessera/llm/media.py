@@ -18,7 +18,7 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import spread, table
 
 RATE = 8000
 SNIFFED = "mime string, declared_ok boolean, length long, payload_offset long, payload_length long, embedded array<struct<mime:string,offset:long,length:long>>"
@@ -346,7 +346,7 @@ def padded(text: Column) -> Column:
 
 
 def op1_media_columns(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     stored = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), as_wav(padded(F.col("text"))).alias("media"), F.lit("application/octet-stream").alias("declared"))
     known = sniff_media(stored, "media", "declared")
     s = F.col("sniffed")

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordIds, table
+from .common import Scratch, WordIds, spread, table
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Domains of the labels table, and their shares of all tokens of the mix.
@@ -181,7 +181,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
 
 
 def op9_source_mixing(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     model = fit(docs, domain_labels(table(spark, sf_dir, "labels")))
     weights = Scratch(spark, "mix").write(posteriors(docs, model).select("doc_id", "n_tokens", "posterior"))
     out = with_rates(weights, solve(weights, model.domains, TARGETS), model.domains, "doc_id")

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordIds, mix64, shingle_hashes, table
+from .common import Scratch, WordIds, mix64, shingle_hashes, spread, table
 
 WIDTH, SIMILAR, SIDES = 5, 75, 8
 #: Further leaders of a bucket before all pairs across its components are compared, and bits of a set's sketch.
@@ -219,7 +219,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def op2_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return near_duplicates(spread(table(spark, sf_dir, "documents")).select("doc_id", "text"))
 
 
 OP2_SQL = r"""

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, mix64, table
+from .common import Scratch, mix64, spread, table
 
 LENGTH = 400
 #: A perfect difference set of 18 numbers modulo 307.
@@ -290,6 +290,6 @@ def _with(blocks: DataFrame, masks: DataFrame | None) -> DataFrame:
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = remove_repeats(spread(table(spark, sf_dir, "documents")).select("doc_id", "text"))
     n_removed = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, s: acc + s["to"] - s["from"])
     return out.select("doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import spread, table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that cuts text for such vocabularies.
@@ -114,5 +114,5 @@ def count_tokens(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULA
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     return count_tokens(docs).select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "n_pretokens", "n_tokens")
