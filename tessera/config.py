@@ -12,6 +12,9 @@ _UNITS = {"ms": 0.001, "s": 1, "m": 60, "h": 3600, "d": 86400}
 
 @dataclass(frozen=True)
 class EngineConfig:
+    """root: a folder of databases, each a folder of collections, for Engine.discover(). aggregation_pushdown_enabled is
+    accepted and changes nothing: partial aggregation beside the scan is Spark's own."""
+
     root: str | None = None
     schema_sample_size: int = 1000
     schema_sample_random: bool = False
@@ -21,6 +24,7 @@ class EngineConfig:
     shards_per_split: int = 1
     max_splits: int = 32
     shard_parallelism_enabled: bool = True
+    aggregation_pushdown_enabled: bool = True
     query_function_enabled: bool = True
     statistics_enabled: bool = True
     statistics_cache_ttl: float = 300

@@ -264,3 +264,14 @@ def test_a_stream_of_documents(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(map(str, spark.table("typed").collect())) == ["Row(n=1, s='x')", "Row(n=None, s=None)"]
+
+
+def test_collections_under_a_root(spark, tmp_path):
+    (tmp_path / "shop" / "logs.json").mkdir(parents=True)
+    (tmp_path / "shop" / "logs.json" / "a.txt").write_text("\n".join(USERS))
+    docs(spark, *USERS).select(F.parse_json("json").alias("doc")).write.parquet(str(tmp_path / "shop" / "users"))
+    e = Engine(spark, EngineConfig(root=str(tmp_path))).discover()
+    assert e.list_tables() == [("shop", "logs"), ("shop", "users")]
+    assert sorted(r["age"] for t in ("logs", "users") for r in e.table("shop", t).collect()) == [36, 36, 41, 41]
+    with pytest.raises(InvalidArgumentError):
+        Engine(spark).discover()
