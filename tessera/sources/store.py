@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: The temporary folder of each application that has no shared one.
+_local: dict[str, str] = {}
 _stored: dict[tuple[str, str, str], str] = {}
 
 
@@ -15,8 +17,8 @@ def shared_folder(spark: SparkSession) -> str:
     """A folder that all executors see; a temporary one only where none is configured."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tessera-")
+        _local[spark.sparkContext.applicationId] = root
     return root.rstrip("/")
 
 
