@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: The temporary folder of each application that has no shared one.
+_local: dict[str, str] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,8 +31,8 @@ def shared_root(spark: SparkSession) -> str:
     """The folder that the driver and all executors see; a temporary one only where none is configured (local runs)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tessera-")
+        _local[spark.sparkContext.applicationId] = root
     return root.rstrip("/")
 
 
@@ -57,6 +61,16 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def hash_sample(df: DataFrame, keys: list[str], bound: int) -> DataFrame:
+    """At most bound rows of df, those with the smallest hashes of their keys; the same rows each time. Only about as many
+    rows as asked for take part in the sort, so that no task sends more than its share."""
+    n, h = df.count(), F.xxhash64(F.lit(5), *keys)
+    if n <= bound:
+        return df
+    some = df.filter(F.pmod(h, F.lit(1 << 40)) < int((1 << 40) * min(1.0, 1.2 * bound / n + 100 / n)))
+    return some.orderBy(F.pmod(h, F.lit(1 << 40)), *keys).limit(bound)
+
+
 def aside(df: DataFrame, taken: set[str]) -> tuple[DataFrame, list[Column]]:
     """df with the columns whose names are taken put under other names, and the select that gives df's columns back."""
     name = {c: f"__aside_{k}" if c.lower() in taken else c for k, c in enumerate(df.columns)}

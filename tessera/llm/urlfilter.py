@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table
+from .common import ascii_lower, hash_sample, table
 
 FEATURES = ["__f_length", "__f_host_length", "__f_path_length", "__f_depth", "__f_labels", "__f_digit_ratio", "__f_host_digit_ratio", "__f_entropy", "__f_params", "__f_hyphens", "__f_other_ratio", "__f_secure", "__f_fragment", "__f_suffix1", "__f_suffix2", "__f_first"]
 #: Allow and block rules as (verdict, host, path).
@@ -166,7 +166,7 @@ def fit(labelled: DataFrame, url: str, blocked: str, sample: int = 20_000, trees
     stats = {k: [rate0] * buckets for k in ("suffix1", "suffix2", "first")}
     for r in sums:
         stats[r["k"]][r["b"]] = (r["p"] + prior * rate0) / (r["n"] + prior)
-    rows = with_features(have.orderBy(F.xxhash64("url"), "url", "y").limit(sample), "url", stats).select(*FEATURES, "y").collect()
+    rows = with_features(hash_sample(have, ["url", "y"], sample), "url", stats).select(*FEATURES, "y").collect()
     x = np.array([r[:-1] for r in rows], float).reshape(len(rows), len(FEATURES))
     base, grown = boost(x, np.array([r[-1] for r in rows], float), trees, depth, rate)
     return UrlModel(stats, base, grown)
