@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordIds, spread, table
+from .common import Scratch, WordIds, hash_sample, spread, table
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Domains of the labels table, and their shares of all tokens of the mix.
@@ -63,7 +63,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """labels: doc_id and domain. Fits on at most `sample` labelled rows, the first by hash (the only bound): so few are
     sent to the executors, and documents stay where they are. Rows with a null id, domain or text teach nothing."""
     few = labels.filter(F.col(domain).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(domain).alias("_domain"))
-    few = few.orderBy(F.xxhash64("_id"), "_id", "_domain").limit(sample)
+    few = hash_sample(few, ["_id", "_domain"], sample)
     picked = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("binary").alias("raw")).filter("raw is not null").join(F.broadcast(few), "_id").select("_domain", "raw")
     scratch = Scratch(docs.sparkSession, "mixing")
     picked = scratch.write(picked)
