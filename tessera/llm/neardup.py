@@ -3,7 +3,7 @@
 Two small collections of `sides` values each are computed for a document, each value made of two minhashes (4 * sides
 minhashes in all). The table keys are all pairs of a left and a right value: sides**2 tables of four minhashes each for
 the price of the square root of that many. Two documents of similarity J meet in some table with probability
-(1 - (1 - J**2)**sides)**2: 0.998 at J = 0.75 and 0.9995 at 0.8 for 8 sides. Every candidate is confirmed on the full
+(1 - (1 - J**2)**sides)**2: 0.9999 at J = 0.75 and 0.99999 at 0.8 for 12 sides. Every candidate is confirmed on the full
 sets of 5-word shingles before it becomes a link.
 
 How it scales: documents with equal sets are one representative from the start. A left or right value that only one
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, WordIds, mix64, shingle_hashes, spread, table
 
-WIDTH, SIMILAR, SIDES = 5, 75, 8
+WIDTH, SIMILAR, SIDES = 5, 75, 12
 #: Further leaders of a bucket before all pairs across its components are compared, and bits of a set's sketch.
 LEADERS, ODD = 2, 1024
 SIGNATURE = "doc_id long, n_shingles long, s1 long, s2 long, left array<long>, right array<long>, odd array<long>"
