@@ -17,6 +17,8 @@ tables live in the shared folder; components are found by repeated contraction o
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ def shingles(raw: bytes | None, ids: WordIds) -> np.ndarray:
     return np.unique(shingle_hashes(hashed, min(WIDTH, len(words))))
 
 
+@cache
 def _seeds(sides: int) -> tuple[np.ndarray, np.ndarray]:
     k = mix64(np.arange(1, 8 * sides + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return k[: 4 * sides, None], k[4 * sides :, None] | np.uint64(1)
@@ -47,8 +50,10 @@ def minhashes(hashes: np.ndarray, sides: int) -> np.ndarray:
     add, times = _seeds(sides)
     low = np.full(4 * sides, np.iinfo(np.uint64).max, np.uint64)
     with np.errstate(over="ignore"):
-        for k in range(0, len(hashes), 8192):
-            low = np.minimum(low, ((hashes[None, k : k + 8192] ^ add) * times).min(1))
+        for k in range(0, len(hashes), 1024):  # small enough for a core's cache
+            x = hashes[None, k : k + 1024] ^ add
+            x *= times
+            np.minimum(low, x.min(1), out=low)
         return mix64(mix64(low[0::2]) + low[1::2])
 
 
