@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .config import EngineConfig
-from .operators import neighbors, traverse
+from .operators import neighbors, shortest_paths, traverse
 from .plans.partitions import Sharding
 from .sources import Engine
 from .sources.store import stored_documents
@@ -386,11 +386,66 @@ def agg_mixed(e):
     return _items(e).groupBy("flag").agg(F.count("*").alias("n"), F.min("flag").alias("m"), F.sum("quantity").alias("s"), F.round(F.sum("price"), 2).alias("p"))
 
 
+@_query("SELECT count(CASE WHEN o_orderkey % 5 <> 0 THEN 1 END) AS n, max(CASE WHEN o_orderkey % 5 <> 0 THEN CAST((o_orderkey * 7) || '.' || lpad((o_orderkey % 100)::VARCHAR, 2, '0') AS DECIMAL(12,2)) END) AS d, strftime(min(CASE WHEN o_orderkey % 3 <> 0 THEN o_orderdate END), '%Y-%m-%d') AS t, CAST(max(epoch(o_orderdate) - CASE WHEN o_orderkey % 2 = 0 THEN 19800 ELSE 0 END) AS BIGINT) AS z FROM orders")
+def agg_min_max_declared(e):
+    t = e.table("shop", "orders_declared", ["total", "placed", "seen"])
+    return t.agg(F.count("total").alias("n"), F.max("total").alias("d"), F.date_format(F.min("placed"), "yyyy-MM-dd").alias("t"), F.unix_timestamp(F.max("seen")).alias("z"))
+
+
+@_query("SELECT CASE WHEN o_orderkey % 4 = 0 THEN '18446744073709551615' ELSE o_orderkey::VARCHAR END AS big, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day, count(*) AS n FROM orders GROUP BY 1, 2")
+def group_by_declared(e):
+    t = e.table("shop", "orders_declared", ["big", "placed"]).groupBy("big", "placed").agg(F.count("*").alias("c"))
+    return t.groupBy(F.col("big").cast("string").alias("big"), F.date_format("placed", "yyyy-MM-dd").alias("day")).agg(F.sum("c").alias("n"))
+
+
+@_query("SELECT l_linenumber AS first, l_returnflag AS seen, count(*) AS n FROM (SELECT CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag FROM lineitem WHERE l_orderkey % 10 <> 1) x GROUP BY 1, 2")
+def group_by_array(e):
+    out = _items(e).filter("flag IS NOT NULL").groupBy("tags", "flag").agg(F.count("*").alias("n"))
+    return out.select(F.get("tags", F.lit(0)).alias("first"), F.col("flag").alias("seen"), "n")
+
+
+@_query(f"SELECT line, count(DISTINCT flag) AS f, count(DISTINCT taxed) AS t FROM {_ITEMS} GROUP BY line")
+def agg_approx_distinct(e):
+    """Exact at so few values; what approx_count_distinct gives beyond its precision is an estimate."""
+    return _items(e).groupBy("line").agg(F.approx_count_distinct("flag").alias("f"), F.approx_count_distinct("taxed").alias("t"))
+
+
 @_query(f"SELECT DISTINCT flag, taxed FROM {_ITEMS}")
 def distinct_values(e):
     return _items(e).select("flag", "taxed").distinct()
 
 
+# -- scalar functions over materialized columns
+
+
+@_query("SELECT c_custkey AS id, upper(c_name) AS u, length(c_name) AS n, substring(c_name, 1, 4) AS s, replace(c_name, '#', '-') AS r, reverse(c_name) AS v, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS p, concat(c_name, '/', c_custkey) AS c, position('#' IN c_name) AS i, split_part(c_name, '#', 1) AS h, regexp_extract(c_name, '[0-9]+') AS d FROM customer")
+def scalar_string(e):
+    name, id_ = F.col("name"), F.col("id").cast("string")
+    return e.table("shop", "people").select("id", F.upper(name).alias("u"), F.length(name).cast("bigint").alias("n"), F.substring(name, 1, 4).alias("s"), F.replace(name, F.lit("#"), F.lit("-")).alias("r"), F.reverse(name).alias("v"), F.lpad(id_, 8, "0").alias("p"), F.concat(name, F.lit("/"), id_).alias("c"), F.instr(name, "#").cast("bigint").alias("i"), F.split_part(name, F.lit("#"), F.lit(1)).alias("h"), F.regexp_extract(name, "[0-9]+", 0).alias("d"))
+
+
+@_query(f'SELECT "order", line, abs(quantity - 25) AS a, quantity % 7 AS m, floor(price) AS f, ceil(price) AS c, CAST(sign(quantity - 25) AS BIGINT) AS s, round(sqrt(price), 6) AS r, greatest(quantity, line) AS g, coalesce(quantity, -1) AS z, nullif(line, 1) AS y, CASE WHEN quantity > 25 THEN \'many\' WHEN quantity IS NULL THEN \'none\' ELSE \'few\' END AS w FROM {_ITEMS} WHERE quantity IS NOT NULL')
+def scalar_math(e):
+    q, p = F.col("quantity"), F.col("price")
+    word = F.when(q > 25, "many").when(q.isNull(), "none").otherwise("few")
+    return _items(e).filter("quantity IS NOT NULL").select("order", "line", F.abs(q - 25).alias("a"), (q % 7).alias("m"), F.floor(p).cast("double").alias("f"), F.ceil(p).cast("double").alias("c"), F.sign(q - 25).cast("bigint").alias("s"), F.round(F.sqrt(p), 6).alias("r"), F.greatest(q, "line").alias("g"), F.coalesce(q, F.lit(-1)).alias("z"), F.nullif("line", F.lit(1)).alias("y"), word.alias("w"))
+
+
+@_query("SELECT o_orderkey AS id, year(o_orderdate) AS y, month(o_orderdate) AS m, day(o_orderdate) AS d, quarter(o_orderdate) AS q, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS t, strftime(o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d') AS a, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS n FROM orders WHERE o_orderkey % 3 <> 0")
+def scalar_date(e):
+    d, long = F.col("placed"), "bigint"
+    parts = [f(d).cast(long).alias(a) for f, a in ((F.year, "y"), (F.month, "m"), (F.day, "d"), (F.quarter, "q"))]
+    days = F.date_diff(F.to_date(d), F.to_date(F.lit("1992-01-01"))).cast(long)
+    return e.table("shop", "orders_declared").filter("placed IS NOT NULL").select("id", *parts, F.date_format(F.date_trunc("month", d), "yyyy-MM-dd").alias("t"), F.date_format(d + F.expr("INTERVAL 30 DAYS"), "yyyy-MM-dd").alias("a"), days.alias("n"))
+
+
+@_query('SELECT l_orderkey AS "order", CAST(l_linenumber AS BIGINT) AS line, CAST(3 * l_linenumber AS BIGINT) AS s, CAST(2 * l_linenumber AS BIGINT) AS m, CAST(2 AS BIGINT) AS n, true AS h, CAST(l_linenumber * 10 AS BIGINT) AS t FROM lineitem')
+def scalar_array(e):
+    known = F.filter("tags", lambda x: x.isNotNull())
+    total = F.aggregate(known, F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return _items(e).select("order", "line", total.alias("s"), F.array_max("tags").alias("m"), F.size(known).cast("bigint").alias("n"), F.array_contains(known, F.col("line")).alias("h"), F.get(F.transform("tags", lambda x: x * 10), F.lit(0)).alias("t"))
+
+
 # -- sort, limit, set operations
 
 
@@ -564,6 +619,28 @@ def neighbors_4_out(e):
     return neighbors(e.table("shop", "lies_in"), e.table("shop", "places", ["_id"]), "_id", 4)
 
 
+@_query(f"SELECT e._to AS start, e._from AS vertex, since FROM {_EDGES} WHERE e._to LIKE 'places/r%'")
+def traverse_1_inbound(e):
+    edges = e.table("shop", "lies_in", ["_key", "_from", "_to", "since"])
+    starts = e.table("shop", "places", ["_id"]).filter("_id LIKE 'places/r%'")
+    found = traverse(edges, starts, "_id", 1, 1, "inbound").select("start", "vertex")
+    return found.join(edges.select(F.col("_from").alias("vertex"), F.col("_to").alias("start"), "since"), ["start", "vertex"]).select("start", "vertex", "since")
+
+
+_BOTH = f"(SELECT _from AS a, _to AS b, _key FROM {_EDGES.removesuffix(' e')} x UNION ALL SELECT _to, _from, _key FROM {_EDGES.removesuffix(' e')} y)"
+
+
+@_query(f"SELECT p.a AS start, q.b AS vertex, CAST(2 AS INTEGER) AS depth FROM {_BOTH} p JOIN {_BOTH} q ON p.b = q.a AND p._key <> q._key WHERE p.a LIKE 'places/n%'")
+def traverse_2_any(e):
+    starts = e.table("shop", "places", ["_id"]).filter("_id LIKE 'places/n%'")
+    return traverse(e.table("shop", "lies_in", ["_key", "_from", "_to"]), starts, "_id", 2, 2, "any").select("start", "vertex", "depth")
+
+
+@_query(f"WITH RECURSIVE reach(start, vertex, depth, used) AS (SELECT _id, _id, 0, '' FROM {_PLACES} UNION ALL {_STEP} 6) SELECT start, min(depth) AS depth FROM reach WHERE vertex = 'places/n1' GROUP BY start")
+def shortest_path(e):
+    return shortest_paths(e.table("shop", "lies_in"), e.table("shop", "places", ["_id"]), "_id", "places/n1", 6)
+
+
 @_query("SELECT count(*) AS items, CAST(1 AS BIGINT) AS global_, CAST(NULL AS BIGINT) AS grouped, CAST(9 AS BIGINT) AS grouped_limit FROM lineitem")
 def statistics(e):
     rows = [(e.statistics("shop", "items"), e.statistics("shop", "items", grouped=False), e.statistics("shop", "items", grouped=True), e.statistics("shop", "items", grouped=True, limit=9))]
