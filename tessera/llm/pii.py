@@ -3,8 +3,8 @@
 The field labels tokens (runs of what is not white space) with O or B-/I- of a kind, from word-shape features of a token and the shapes
 of its neighbours. It is trained on the driver from a small labelled table (a parameter; a built-in one of templates by
 default) and decoded by Viterbi over padded numpy batches. A span needs a token with a digit or "@", or spelled-out
-"at" and "dot"; so chains are windows of tokens around such tokens, and all others are O without being scored. Added
-spans must pass their kind's own checks and never overlap a base span.
+"at" or "dot"; so chains are windows of tokens around such tokens, and all others are O without being scored. Added
+spans must pass their kind's own checks and never overlap a base span. A spelled-out address ends where its form does.
 
 One Arrow pass, no shuffle; memory is a batch and its chains.
 """
@@ -32,7 +32,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _TOKEN = re.compile(r"\S+")
-_SEED = re.compile(r"[0-9@]|\(at\)|\[at\]")
+_SEED = re.compile(r"[0-9@]|\((?:at|dot)\)|\[(?:at|dot)\]")
+_SPELLED = re.compile(r"[A-Za-z0-9._%+-]+ ?[(\[]at[)\]] ?[A-Za-z0-9-]++(?: ?[(\[]dot[)\]] ?[A-Za-z0-9-]++)++(?!\w)")
 
 
 def luhn(digits: str) -> bool:
@@ -219,7 +220,7 @@ def _plausible(kind: str, s: str) -> bool:
         return len(parts) == 4 and all(p.isascii() and p.isdigit() for p in parts) and _octets(parts)
     if kind == "phone":
         return len(digits) in (10, 11) and re.fullmatch(r"\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}", s) is not None
-    return re.fullmatch(r"[A-Za-z0-9._%+-]+ ?[(\[]at[)\]] ?[A-Za-z0-9-]+(?: ?[(\[]dot[)\]] ?[A-Za-z0-9-]+)+", s) is not None
+    return _SPELLED.fullmatch(s) is not None
 
 
 def chains_of(text: str) -> list[list[tuple[int, int]]]:
@@ -261,6 +262,10 @@ def added_spans(texts: list[str], found: list[list[tuple]], field: Field) -> lis
                     b -= 1
                 while a < b and texts[n][a] in "\"'":
                     a += 1
+                if name == "B-email" and (m := _SPELLED.match(texts[n], a)):
+                    b = m.end()
+                    while stop < len(chain) and chain[stop][0] < b:
+                        stop += 1
                 if _plausible(name[2:], texts[n][a:b]) and not any(x < b and a < y for x, y, _ in found[n]):
                     out[n].append((a, b, name[2:]))
             k = stop

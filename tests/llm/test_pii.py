@@ -78,3 +78,14 @@ def test_query(spark, tmp_path):
 
 def test_no_documents(spark, tmp_path):
     assert pii.op5_pii(spark, saved(spark, tmp_path, documents=documents(spark, []))).count() == 0
+
+
+def test_spelled_out_addresses_are_whole_however_many_dots():
+    field = pii.train(pii.labelled_table())
+    for labels in (2, 3, 5, 12, 60):
+        for at, dot in (("(at)", "(dot)"), ("[at]", "[dot]")):
+            address = f"anna {at} mail" + "".join(f" {dot} {'example' if k % 2 else 'dept'}" for k in range(labels - 1)) + f" {dot} com"
+            for text in (f"write to {address} today", address, f"und der {address}. Die"):
+                at_ = text.index(address)
+                assert pii.added_spans([text], [pii.base_spans(text)], field)[0] == [(at_, at_ + len(address), "email")], text
+    assert pii.added_spans(["write to anna (at) mail (dot) café today"], [[]], field) == [[]]
