@@ -36,10 +36,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id."""
-    found = near_duplicates(docs.select("doc_id", "text"))
-    gone = found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs.doc_id.cast("long") == F.col("__gone"), "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays: one with the smallest doc_id, or without any if none has one. Rows are
+    numbered, and linked by number, so that null and repeated ids are like any others."""
+    scratch = Scratch(spark, "rows")
+    rows = scratch.write(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = near_duplicates(spread(rows), "__row").filter("n_shingles > 0").select(F.col("doc_id").alias("__row"), "component_id")
+    found = scratch.write(found.join(rows.select("__row", F.col("doc_id").cast("long").alias("id")), "__row"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__row"))
+    stay = found.groupBy("component_id").agg(first.alias("m")).select(F.col("m.__row").alias("__row"))
+    return rows.join(found.join(stay, "__row", "left_anti").select("__row"), "__row", "left_anti").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

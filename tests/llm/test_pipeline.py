@@ -45,3 +45,18 @@ def test_stages_against_brute_force(spark, tmp_path):
 
 def test_no_documents(spark, tmp_path):
     assert cp.run(spark, tables(spark, tmp_path, [])).count() == 0
+
+
+def test_near_keeps_one_row_of_each_group_whatever_its_id(spark, tmp_path):
+    a, b, c, d = (words(k, 80) for k in (1, 2, 3, 4))
+    rows = [(None, a), (7, a), (5, a + " tail"), (None, a + " end")]  # copies with and without id
+    rows += [(None, b)] * 20 + [(None, b + " tail")]  # none has an id
+    rows += [(9, c), (9, c), (9, c + " tail"), (9, d)]  # one id for copies and for another text
+    rows += [(11, words(5, 80)), (None, words(6, 80)), (12, None), (None, ""), (12, None)]
+    docs = spark.read.parquet(f"{tables(spark, tmp_path, rows)}/documents.parquet")
+    out = cp.near(spark, docs, str(tmp_path))
+    assert out.columns == docs.columns
+    got = sorted((repr(r["doc_id"]), r["text"] or "") for r in out.collect())
+    assert [x for x in got if x[1].startswith(a)] == [("5", a + " tail")]
+    assert [x[0] for x in got if x[1].startswith(b)] == ["None"] and [x[0] for x in got if x[1].startswith(c)] == ["9"]
+    assert ("9", d) in got and len(got) == 3 + 1 + 2 + 3
