@@ -4,8 +4,8 @@ A known word scores by its log frequency in each language. A word that training
 n-grams (with word ends), from length 5 down to 1: the longest length at which any of its n-grams is known decides. A
 word's scores are normalized over the languages, so that each word votes with what it tells apart.
 
-Training counts words of labelled texts on the executors, from at most `max_docs` of them in expectation (by hash; the bound
-is a parameter), and keeps the most frequent words and n-grams of each language: the model's size is bounded by
+Training counts words of labelled texts on the executors, from at most `max_docs` of them (a parameter): of a larger table
+equal texts of a language are drawn once and languages have equal quotas, so that a rare one has all its texts in. It keeps the most frequent words and n-grams of each language: the model's size is bounded by
 parameters and the number of languages, and it alone is broadcast. Prediction is one pass without a shuffle.
 """
 
@@ -106,14 +106,37 @@ def _counted(df: DataFrame, lang: str, text: str) -> DataFrame:
     return df.select(F.col(lang).alias("lang"), F.col(text).alias("text")).mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def _quotas(sizes: dict[str, int], bound: int) -> dict[str, int]:
+    """How many texts of each language to draw: what small languages leave of their share goes to larger ones. One at least."""
+    out, left = {}, bound
+    for k, lang in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        out[lang] = min(sizes[lang], max(1, left // (len(sizes) - k)))
+        left -= out[lang]
+    return out
+
+
+def draw(have: DataFrame, scratch: Scratch, bound: int) -> DataFrame:
+    """(lang, text): at most bound distinct ones of have (or one for each language), of every language those with the
+    smallest hashes. Only about as many hashes as are asked for are sorted."""
+    keys = ["lang", "h1", "h2"]
+    hashed = have.select("lang", "text", F.xxhash64(F.lit(3), "text").alias("h1"), F.xxhash64(F.lit(4), "text").alias("h2"))
+    each = scratch.write(hashed.select(*keys).distinct())
+    sizes = {r["lang"]: r["n"] for r in each.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    wanted = [(lang, q, min(1.0, (1.2 * q + 30) / sizes[lang])) for lang, q in _quotas(sizes, bound).items()]
+    few = each.join(F.broadcast(have.sparkSession.createDataFrame(wanted, "lang string, quota long, share double")), "lang")
+    few = few.filter(F.pmod("h1", F.lit(1 << 40)) <= F.col("share") * (1 << 40))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h1", F.lit(1 << 40)), "h1", "h2"))
+    few = scratch.write(few.withColumn("r", first).filter(F.col("r") <= F.col("quota")).select(*keys))
+    return hashed.join(F.broadcast(few), keys, "left_semi").dropDuplicates(keys).select("lang", "text")
+
+
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text", max_docs: int = 20_000, max_words: int = 20_000, max_grams: int = 5_000) -> LangModel:
     """Rows without text or lang teach nothing; without any rows the model knows no language and answers "und"."""
-    have = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    n = have.count()
-    if n > max_docs:
-        have = have.filter(F.pmod(F.xxhash64(F.lit(3), text), F.lit(1_000_000)) < int(1_000_000 * max_docs / n))
+    have = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     scratch = Scratch(labelled.sparkSession, "langid")
-    counts = scratch.write(_counted(have, lang, text))
+    if have.count() > max_docs:
+        have = draw(have, scratch, max_docs)
+    counts = scratch.write(_counted(have, "lang", "text"))
     marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
     grams = counts.select("lang", "n", marked.alias("m")).select("lang", "n", "m", F.explode(F.array(*[F.lit(k) for k in range(1, LONGEST + 1)])).alias("k"))
     grams = grams.filter(F.length("m") >= F.col("k")).select("lang", "k", "n", F.explode(F.expr("transform(sequence(1, length(m) - k + 1), i -> substring(m, i, k))")).alias("word"))

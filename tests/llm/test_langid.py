@@ -1,7 +1,8 @@
 import random
 import zlib
 
-from tessera.llm.langid import op3_language_id, predict, train
+from tessera.llm.langid import _quotas, draw, op3_language_id, predict, train
+from tessera.llm.common import Scratch
 from tests.llm.helpers import documents, saved
 
 SYLLABLES = {"aa": "ka lo mi ta ru", "bb": "sch ung eit ver tz", "cc": "ção nh lh ões ei"}
@@ -57,3 +58,15 @@ def test_columns_with_the_same_names_are_replaced(spark):
     df = documents(spark, rows, langs)
     out = predict(df.withColumnRenamed("holder", "score"), train(df, max_docs=50))
     assert out.columns.count("score") == 1 and {r["score"] for r in out.collect()} != {"x"}
+
+
+def test_draw_keeps_rare_languages_and_takes_equal_texts_once(spark):
+    rows = [("aa", sentence("aa", k)) for k in range(400)] + [("bb", sentence("bb", 1))] * 300 + [("bb", sentence("bb", k)) for k in range(100)]
+    rows += [("cc", sentence("cc", k)) for k in range(2)] + [("d", sentence("cc", k)) for k in range(1)]
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    assert train(df, max_docs=60).langs == ["aa", "bb", "cc", "d"]
+    got = [tuple(r) for r in draw(df, Scratch(spark, "t"), 60).collect()]
+    assert len(got) == len(set(got)) == 60 and set(got) <= set(rows)
+    assert [sum(x == lang for x, _ in got) for lang in ("aa", "bb", "cc", "d")] == [29, 28, 2, 1]
+    assert sorted(got) == sorted(tuple(r) for r in draw(df.repartition(3), Scratch(spark, "t"), 60).collect())
+    assert _quotas({"a": 5, "b": 9, "c": 9}, 2) == {"a": 1, "b": 1, "c": 1}
