@@ -11,6 +11,7 @@ Everything is a projection: no shuffle, one Arrow pass, and memory bounded by a
 from __future__ import annotations
 
 import binascii
+import re
 import struct
 import zlib
 from bisect import bisect_left
@@ -59,6 +60,12 @@ class Buffer:
         k = bisect_left(hits, at)
         return hits[k] if k < len(hits) else -1
 
+    def once(self, name: str, find):
+        """What find tells of the bytes, asked once."""
+        if name not in self._hits:
+            self._hits[name] = find(self.data)
+        return self._hits[name]
+
 
 def _u(data: bytes, at: int, fmt: str) -> int | None:
     end = at + struct.calcsize(fmt)
@@ -197,9 +204,18 @@ def _ogg(b: Buffer, at: int):
     return None
 
 
+_PDF_END = re.compile(rb"startxref\s{1,8}[0-9]{1,20}\s{1,8}%%EOF")
+
+
 def _pdf(b: Buffer, at: int):
+    """Up to the last end marker with an offset before the next header: first pages and updates have markers of their own."""
     end = b.next(b"%%EOF", at)
     mark = b.next(b"startxref", at)
+    heads, ends = b.once("pdf", lambda d: ([m.start() for m in re.finditer(rb"%PDF-[0-9]\.[0-9]", d)], [m.end() - 5 for m in _PDF_END.finditer(d)]))
+    k = bisect_left(heads, at + 1)
+    n = bisect_left(ends, heads[k] if k < len(heads) else len(b.data))
+    if 0 <= mark < end and n and ends[n - 1] > end:
+        end = ends[n - 1]
     return ("application/pdf", end + 5 - at) if 0 <= mark < end and _version(b.data, at + 5) else None
 
 
@@ -207,30 +223,50 @@ def _version(d: bytes, at: int) -> bool:
     return d[at : at + 1].isdigit() and d[at + 1 : at + 2] == b"." and d[at + 2 : at + 3].isdigit()
 
 
+def _zips(d: bytes) -> dict[int, int]:
+    """Where archives end, by where they begin, which their end record tells; stored ones inside have records of their own."""
+    out, end = {}, d.find(b"PK\x05\x06")
+    while end >= 0:
+        if (k := _u(d, end + 20, "<H")) is not None and end + 22 + k <= len(d):
+            size, start = _u(d, end + 12, "<I"), _u(d, end + 16, "<I")
+            at = end - size - start
+            if at >= 0 and d[at + start : at + start + 4] in (b"PK\x01\x02", b"PK\x05\x06"):
+                out.setdefault(at, end + 22 + k)
+        end = d.find(b"PK\x05\x06", end + 1)
+    return out
+
+
 def _zip(b: Buffer, at: int):
-    d, end = b.data, b.next(b"PK\x05\x06", at)
-    if end < 0 or (k := _u(d, end + 20, "<H")) is None or end + 22 + k > len(d):
-        return None
-    size, start = _u(d, end + 12, "<I"), _u(d, end + 16, "<I")
-    there = d[at + start : at + start + 4] in (b"PK\x01\x02", b"PK\x05\x06")
-    return ("application/zip", end + 22 + k - at) if at + start + size == end and there else None
+    end = b.once("zip", _zips).get(at)
+    return ("application/zip", end - at) if end else None
 
 
-def _gzip(b: Buffer, at: int):
-    """One member; inflating it checks its CRC and length. Output is thrown away piece by piece."""
-    if b.data[at + 3 : at + 4] > b"\x1f":
+def _member(d: bytes, at: int) -> int | None:
+    """The end of one gzip member; inflating it checks its CRC and length. Output is thrown away piece by piece."""
+    if d[at : at + 3] != b"\x1f\x8b\x08" or d[at + 3 : at + 4] > b"\x1f":
         return None
     z, p = zlib.decompressobj(31), at
     try:
-        while not z.eof and p < len(b.data):
-            piece = b.data[p : p + 65536]
+        while not z.eof and p < len(d):
+            piece = d[p : p + 65536]
             p += len(piece)
             z.decompress(piece, 1 << 20)
             while z.unconsumed_tail and not z.eof:
                 z.decompress(z.unconsumed_tail, 1 << 20)
     except zlib.error:
         return None
-    return ("application/gzip", p - len(z.unused_data) - at) if z.eof else None
+    return p - len(z.unused_data) if z.eof else None
+
+
+def _gzip(b: Buffer, at: int):
+    """All members that follow each other; each is inflated once, though a later one is a file of its own as well."""
+    known, seen, p = b.once("gzip", lambda d: {}), [], at
+    while p not in known and (end := _member(b.data, p)):
+        seen.append(p)
+        p = end
+    last = known.get(p, p)
+    known.update(dict.fromkeys(seen, last))
+    return ("application/gzip", last - at) if last > at else None
 
 
 def _mp4(b: Buffer, at: int):

@@ -93,3 +93,18 @@ def test_query_round_trip(spark, tmp_path):
 
 def test_query_on_no_documents(spark, tmp_path):
     assert media.op1_media_columns(spark, saved(spark, tmp_path, documents=documents(spark, []))).count() == 0
+
+
+def test_files_with_several_end_markers_are_whole():
+    first = b"%PDF-1.4\nstartxref\n0\n%%EOF"
+    pdf = first + b"\nmore\nstartxref\n116\n%%EOF\nupdate\nstartxref\n220\r\n%%EOF"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("a.zip", zipped())
+        z.writestr("b.zip", zipped())
+    gz = b"".join(gzip.compress(x, mtime=0) for x in (b"one", b"two" * 99, b""))
+    for mime, data in (("application/pdf", pdf), ("application/zip", out.getvalue()), ("application/gzip", gz)):
+        for pre, post in ((b"", b""), (b"junk", b" %%EOF tail")):
+            assert (len(pre), mime, len(data)) in [x[:3] for x in media.sniff(pre + data + post)], mime
+    assert [x[:3] for x in media.sniff(pdf + first)] == [(0, "application/pdf", len(pdf)), (len(pdf), "application/pdf", len(first))]
+    assert media.sniff(gz + gz[:15])[0][:3] == (0, "application/gzip", len(gz))
