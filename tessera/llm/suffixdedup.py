@@ -12,8 +12,8 @@ bucket is sorted by itself, and a bit comes back for each fingerprint: does it o
 4. Strings of LENGTH bytes at all starts near such anchors: the edges of repeats, and what they are equal to.
 
 A difference from the classic method: within a bucket suffixes are ordered by fingerprint, not by their bytes, since only
-equality counts here. Fingerprints of rounds 2 and 4 have 64 bits, made of two independent 64-bit hashes, besides the
-bucket's. Anchors use 32 bits: a false one costs time only.
+equality counts here. Fingerprints of rounds 2 and 4 have 64 bits in all, folded from two 64-bit hashes; the bucket is
+their top bits. Bytes are not compared. Anchors use 32 bits: a false one costs time only.
 
 Scale: blocks are written once, bucketed by id, so that texts are never shuffled; a block sends a fingerprint once, so that a passage
 that a third of all documents share is one entry from each block; buckets are as many as the bytes ask for. Memory is a
