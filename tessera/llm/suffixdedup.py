@@ -44,7 +44,7 @@ COVERS = (
     (13, (0, 1, 3, 9)),
     (7, (0, 1, 3)),
 )
-BLOCK, BUCKET, CHUNK = 2 << 20, 8 << 20, 1 << 18
+BLOCK, BUCKET, CHUNK = 4 << 20, 8 << 20, 1 << 18
 NARROW, WIDE = 6, 12  # bytes of a key that are sent
 
 
@@ -344,8 +344,7 @@ def _round(blocks: DataFrame, number: int, length: int, bits: int) -> DataFrame:
         return out.filter(pa.array([m is not None for m in masks], pa.bool_()))
 
     dealt = blocks.mapInArrow(deal, "bucket long, block_id long, keys binary, flags binary")
-    parts = max(1 << bits, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return dealt.repartition(parts, "bucket").groupBy("bucket").applyInArrow(settle, "block_id long, round int, bucket long, mask binary")
+    return dealt.groupBy("bucket").applyInArrow(settle, "block_id long, round int, bucket long, mask binary")
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -364,9 +363,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     scratch, name = Scratch(spark, "suffix"), f"tessera_blocks_{uuid.uuid4().hex}"
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    bits = max(0, -(-total // BUCKET) - 1).bit_length()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = (max(tasks, -(-total // BUCKET)) - 1).bit_length()
     # A table only so that it can be bucketed: its files are in the shared folder, and its name goes at once.
-    slots = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * BLOCK)))
+    slots = max(tasks, -(-total // (4 * BLOCK)))
     _blocks(docs, doc_id, text).write.bucketBy(slots, "block_id").option("path", f"{scratch.root}/blocks").saveAsTable(name)
     blocks, masks, told = spark.table(name), None, []
     spark.sql(f"DROP TABLE {name}")
