@@ -1,5 +1,5 @@
 from .infer import infer_value, schema_of_documents
-from .cells import materialize, mismatch, with_offset
+from .cells import materialize, mismatch, strict, with_offset
 from .types import UNKNOWN, merge, parse_declared, settle
 
-__all__ = ["UNKNOWN", "infer_value", "materialize", "merge", "mismatch", "parse_declared", "schema_of_documents", "settle", "with_offset"]
+__all__ = ["UNKNOWN", "infer_value", "materialize", "merge", "mismatch", "parse_declared", "schema_of_documents", "settle", "strict", "with_offset"]

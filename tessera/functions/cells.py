@@ -2,7 +2,7 @@
 
 Everything is a Catalyst expression over the document, so filters, aggregates and joins on a materialized column see exactly what
 a select would show, wherever the optimizer moves them. Recursion is over the schema. A value that does not fit is
-NULL at its own leaf; mismatch() names the first such leaf for strict mode.
+NULL at its own leaf; in strict mode it is an error that names that leaf.
 """
 
 from __future__ import annotations
@@ -70,12 +70,18 @@ def _whole(d: Column) -> Column:
     return _let(F.struct(high.alias("high"), (d - high.cast("double") * 2.0**64).alias("rest")), low)
 
 
+def _below(x: Column, digits: int) -> Column:
+    """x < 10**digits, exactly: the double nearest to that power may lie on either side of it."""
+    near = 10.0**digits
+    return x < near if int(near) >= 10**digits else x <= near
+
+
 def _decimal_of_double(d: Column, t: T.DecimalType) -> Column:
     """Only if the double's exact binary value has the type's scale and precision. A double m / 2**k in lowest terms
     needs k decimal places, so scale s fits exactly where d * 2**s is integral, and that product is exact."""
 
     def place(p: Column) -> Column:
-        fits = (p.scaled == F.rint(p.scaled)) & (p.size < 10.0 ** (t.precision - t.scale)) & (p.scaled < 1e38)
+        fits = (p.scaled == F.rint(p.scaled)) & _below(p.size, t.precision - t.scale) & _below(p.scaled, 38)
         unscaled = F.try_multiply(_whole(p.scaled), F.lit(str(5**t.scale)).cast("decimal(38,0)")).cast("decimal(38,0)").cast("string")
         return F.when(fits, _let(unscaled, lambda u: F.when(F.length(u) <= t.precision, _placed(p.sign, u, t))))
 
@@ -165,6 +171,14 @@ def mismatch(x: Column, t: T.DataType, path: str) -> Column:
     return F.when(there & materialize(x, t).isNull(), here)
 
 
+def strict(x: Column, t: T.DataType, path: str) -> Column:
+    """As materialize(), but a value that does not fit is an error. The test counts as one that may give another answer next time,
+    so that no filter is moved past it; a column that a query does not read is dropped with its test."""
+    bad = mismatch(x, t, path)
+    said = F.raise_error(F.concat(F.lit("[TYPE_CONVERSION_ERROR] value does not fit "), bad)).cast(t)
+    return F.when(bad.isNotNull() & (F.monotonically_increasing_id() >= 0), said).otherwise(materialize(x, t))
+
+
 def with_offset(x: Column) -> Column:
     """Minutes east of UTC that a timestamp with time zone was written with; a TimestampType keeps the instant only."""
     s = _get(x, "string")

@@ -1,3 +1,3 @@
-from .graph import neighbors, shortest_paths, traverse
+from .graph import graph_edges, neighbors, shortest_paths, traverse
 
-__all__ = ["neighbors", "shortest_paths", "traverse"]
+__all__ = ["graph_edges", "neighbors", "shortest_paths", "traverse"]

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from ..errors import InvalidArgumentError
 
-#: Strategies under which a document is in exactly one shard.
+# The strategies under which a document is in exactly one shard.
 DISJOINT = ("hash", "community-compat", "enterprise-compat")
 
 
@@ -17,9 +17,20 @@ class Sharding:
     smart_join: str | None = None
 
 
+def obstacle(s: Sharding | None) -> str | None:
+    """Why shards must not be scanned apart; None where they may. What is not known counts against it."""
+    if s is None:
+        return "the sharding is not known"
+    against = {
+        f"there are {len(s.shards)} shards": len(s.shards) < 2,
+        f"the attribute {s.smart_join} joins it to another collection": s.smart_join is not None,
+        f"strategy {s.strategy} is not known to be disjoint": s.strategy not in DISJOINT,
+    }
+    return next((why for why, holds in against.items() if holds), None)
+
+
 def eligible(s: Sharding | None) -> bool:
-    """More than one shard, no smart-join attribute, a known disjoint strategy; unknown is no."""
-    return s is not None and len(s.shards) > 1 and s.smart_join is None and s.strategy in DISJOINT
+    return obstacle(s) is None
 
 
 def group_shards(shards: list[str], per_split: int, most: int) -> list[list[str]]:
@@ -29,8 +40,7 @@ def group_shards(shards: list[str], per_split: int, most: int) -> list[list[str]
     if not shards:
         return [[]]
     n = min(-(-len(shards) // per_split), most)
-    size, extra = divmod(len(shards), n)
-    cuts = [k * size + min(k, extra) for k in range(n + 1)]
+    cuts = [len(shards) // n * k + min(k, len(shards) % n) for k in range(n + 1)]
     return [shards[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
 

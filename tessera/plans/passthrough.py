@@ -26,7 +26,7 @@ if TYPE_CHECKING:
 NODES = {
     "Project", "Filter", "Aggregate", "Sort", "GlobalLimit", "LocalLimit", "Offset", "Join", "LateralJoin", "Union", "Distinct", "Intersect", "Except",
     "SubqueryAlias", "UnresolvedWith", "UnresolvedHaving", "UnresolvedRelation", "UnresolvedSubqueryColumnAliases", "OneRowRelation", "LocalRelation",
-    "UnresolvedInlineTable", "ResolvedInlineTable", "WithWindowDefinition", "Generate", "Pivot", "Unpivot", "UnresolvedTVFAliases", "View",
+    "UnresolvedInlineTable", "ResolvedInlineTable", "UnionLoop", "UnionLoopRef", "WithWindowDefinition", "Generate", "Pivot", "Unpivot", "UnresolvedTVFAliases", "View",
 }
 SUBQUERIES = {"ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"}
 #: Functions that call code or read what is outside the collections.
@@ -103,14 +103,25 @@ def run(engine: Engine, database: str | None, text: str | None) -> DataFrame:
     for n in names:
         if n.startswith("_"):
             raise NotReadOnlyError(f"{n} is one of the store's own collections")
+        if (database, n) in engine.search_views:
+            raise UnsupportedError(f"{n} is a search view; there is no full-text index to search")
         if n not in engine.databases[database]:
             raise InvalidArgumentError(f"collection {n} does not exist in {database}")
-    for n in names:
-        engine.table(database, n, hidden=True, extra=["doc"]).createOrReplaceTempView(n)
+    tables = {n: engine.table(database, n, hidden=True, extra=["doc"]) for n in names}
+    held = spark._jsparkSession.sessionState().catalog()
+    own = {n: held.getRawTempView(n) for n in names}
     try:
+        for n, t in tables.items():
+            t.createOrReplaceTempView(n)
         out = spark.sql(text)
     except AnalysisException as e:
         raise InvalidArgumentError(f"query cannot be run: {e}") from e
+    finally:  # the plan is resolved; the names are the user's again
+        for n, was in own.items():
+            if was.isDefined():
+                held.createTempView(n, was.get(), True)
+            else:
+                spark.catalog.dropTempView(n)
     if len(out.columns) == 1 and isinstance(out.schema[0].dataType, T.VariantType):
         return of_documents(engine, out)
     return out
@@ -134,4 +145,5 @@ def of_documents(engine: Engine, rows: DataFrame) -> DataFrame:
         raise SchemaError("keys differ in case only; set spark.sql.caseSensitive to true")
     kind = F.schema_of_variant("doc")
     sure = F.when(kind.startswith("OBJECT<"), F.col("doc")).otherwise(F.raise_error("the query returns a row that is no object").cast("variant"))
-    return rows.select(sure.alias("doc")).select(*[mat.materialize(mat.field(F.col("doc"), k), t).alias(k) for k, t in fields.items()])
+    cell = (lambda k, t: mat.strict(mat.field(F.col("doc"), k), t, k)) if engine.config.strict else lambda k, t: mat.materialize(mat.field(F.col("doc"), k), t)
+    return rows.select(sure.alias("doc")).select(*[cell(k, t).alias(k) for k, t in fields.items()])

@@ -17,15 +17,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import EngineConfig
-from ..errors import InvalidArgumentError, NotFoundError, SchemaError, TypeConversionError, UnsupportedError
+from ..errors import InvalidArgumentError, NotFoundError, SchemaError, UnsupportedError
 from ..functions import cells as mat
 from ..functions.infer import decode, schema_of_documents
 from ..functions.types import settle
-from ..plans.partitions import Sharding, eligible, group_shards
+from ..plans.partitions import Sharding, counts_agree, group_shards, obstacle
 from .cache import TtlCache
 from .overrides import DeclaredField, read_override
 
 log = logging.getLogger(__name__)
+# The store's own attributes of documents and of edges.
 SYSTEM, EDGE = ("_key", "_id", "_rev"), ("_from", "_to")
 
 
@@ -58,7 +59,7 @@ class Engine:
         self.databases: dict[str, dict[str, Collection]] = {}
         self._schemas = TtlCache(self.config.schema_cache_ttl, clock)
         self._counts = TtlCache(self.config.statistics_cache_ttl, clock)
-        self._overrides = TtlCache(self.config.schema_cache_ttl, clock)
+        self.search_views: set[tuple[str, str]] = set()
 
     # -- registering ---------------------------------------------------------------------------------------------
 
@@ -155,13 +156,10 @@ class Engine:
         return [d for r in texts if isinstance(d := decode(r["j"]), dict)]
 
     def _declared(self, database: str, name: str) -> list[DeclaredField] | None:
-        place = self.databases[database]
-        if not self._overrides.get(database, lambda: self.config.schema_collection in place):
-            return None
-        if self.config.schema_collection not in place:  # dropped since
+        found = self.databases[database].get(self.config.schema_collection)
+        if found is None:
             return None
-        doc = F.col("doc")
-        mine = place[self.config.schema_collection].documents().filter(F.try_variant_get(doc, "$.table", "string") == name)
+        mine = found.documents().filter(F.try_variant_get("doc", "$.table", "string") == name)
         return read_override([decode(r["j"]) for r in mine.select(F.to_json("doc").alias("j")).limit(2).collect()], name)
 
     # -- tables --------------------------------------------------------------------------------------------------
@@ -169,7 +167,8 @@ class Engine:
     def table(self, database: str, name: str, columns: list[str] | None = None, hidden: bool = False, version=None, extra: list[str] | None = None) -> DataFrame:
         """The typed table: its visible columns; with hidden, all; with columns, those by name, hidden ones too. A
         declared timestamp with time zone can also be read as `<name>__offset_minutes`. extra: columns of the source to
-        take along. Strict mode reads the chosen columns once before it returns, and raises for the first value that does not fit."""
+        take along. In strict mode a query fails at the first value that does not fit in a row and a column that it reads,
+        whether a filter would drop the row or not."""
         found = self._collection(database, name, version)
         known = self.describe(database, name)
         return self._typed(found.documents(), known, columns, hidden, extra or [])
@@ -177,34 +176,21 @@ class Engine:
     def _typed(self, docs: DataFrame, known: list[ColumnInfo], columns, hidden: bool, extra: list[str]) -> DataFrame:
         by_name = {c.name: c for c in known}
         if columns is None:
-            chosen = [c for c in known if hidden or not c.hidden]
-            out = [self._column(c) for c in chosen]
+            out = [self._column(c) for c in known if hidden or not c.hidden]
         else:
-            chosen, out = [], []
+            out = []
             for n in columns:
                 base = n.removesuffix("__offset_minutes")
                 c = by_name.get(n) or by_name.get(base)
                 if c is None or n != c.name and not isinstance(c.type, T.TimestampType):
                     raise NotFoundError(f"column {n} does not exist")
-                chosen.append(c)
                 out.append(self._column(c) if n == c.name else mat.with_offset(mat.field(F.col("doc"), base)).alias(n))
-        if self.config.strict:
-            self._check(docs, chosen)
         return docs.select(*out, *extra)
 
-    @staticmethod
-    def _column(c: ColumnInfo) -> Column:
-        return mat.materialize(mat.field(F.col("doc"), c.name), c.type).alias(c.name, metadata={"hidden": c.hidden, "path": [c.name]})
-
-    @staticmethod
-    def _check(docs: DataFrame, chosen: list[ColumnInfo]) -> None:
-        """Runs over all rows and cannot be moved behind a filter, as an error inside the select would be."""
-        if not chosen:
-            return
-        bad = docs.select(F.coalesce(*[mat.mismatch(mat.field(F.col("doc"), c.name), c.type, c.name) for c in chosen], F.lit(None).cast("string")).alias("bad"))
-        first = bad.filter("bad is not null").limit(1).collect()
-        if first:
-            raise TypeConversionError(f"value does not fit {first[0]['bad']}")
+    def _column(self, c: ColumnInfo) -> Column:
+        value = mat.field(F.col("doc"), c.name)
+        cell = mat.strict(value, c.type, c.name) if self.config.strict else mat.materialize(value, c.type)
+        return cell.alias(c.name, metadata={"hidden": c.hidden, "path": [c.name]})
 
     def views(self, database: str) -> list[str]:
         """Registers each table as a temporary view of its visible columns and `<name>__all` of all. A table whose schema is
@@ -223,10 +209,30 @@ class Engine:
 
     def splits(self, database: str, name: str, aggregated: bool = False) -> list[list[str]]:
         """Groups of shards to scan side by side; one empty group is the whole collection. Any doubt gives that."""
-        found, c = self._collection(database, name), self.config
-        if aggregated or not c.shard_parallelism_enabled or found.shard is None or not eligible(found.sharding):
+        why = self.obstacle(database, name, aggregated)
+        if why:
+            log.info("%s.%s is scanned whole: %s", database, name, why)
             return [[]]
-        return group_shards(list(found.sharding.shards), c.shards_per_split, c.max_splits)
+        return group_shards(list(self._collection(database, name).sharding.shards), self.config.shards_per_split, self.config.max_splits)
+
+    def obstacle(self, database: str, name: str, aggregated: bool = False) -> str | None:
+        """Why a collection is not scanned by shards, or None. Its shards' counts, taken once while statistics are cached, must
+        prove that they are apart."""
+        found = self._collection(database, name)
+        if aggregated:
+            return "rows are aggregated at the store"
+        if not self.config.shard_parallelism_enabled:
+            return "it is switched off"
+        if found.shard is None:
+            return "the shard of a document is not known"
+        why = obstacle(found.sharding)
+        if why is None and not self._counts.get((database, name, "shards"), lambda: self._apart(database, name, found)):
+            why = "the counts of its shards do not add up"
+        return why
+
+    def _apart(self, database: str, name: str, found: Collection) -> bool:
+        each = {r[0]: r[1] for r in found.documents().groupBy(found.shard).count().filter(F.col(found.shard).isin(list(found.sharding.shards))).collect()}
+        return counts_agree(self.row_count(database, name), [each.get(s, 0) for s in found.sharding.shards])
 
     def scan_split(self, database: str, name: str, shards: list[str], columns: list[str] | None = None) -> DataFrame:
         found = self._collection(database, name)
@@ -255,7 +261,12 @@ class Engine:
             return None
         return n if limit is None or self.config.shard_parallelism_enabled else min(n, limit)
 
-    # -- passthrough ---------------------------------------------------------------------------------------------
+    # -- search views, passthrough ---------------------------------------------------------------------------------------------
+
+    def register_search_view(self, database: str, name: str) -> Engine:
+        """Makes the name of a search view known, so that a query over it is refused for what it is."""
+        self.create_database(database).search_views.add((database, name))
+        return self
 
     def query(self, database: str | None, text: str | None) -> DataFrame:
         from ..plans.passthrough import run

@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import time
 from decimal import Decimal
 
@@ -42,7 +43,7 @@ def test_declared_decimal(spark):
 
 def test_big_decimal(spark):
     good = {"42": "42", "42.0": "42", '"42"': "42", "1e19": "10000000000000000000", "18446744073709551615": "18446744073709551615", "1e23": "99999999999999991611392", "-1e22": "-1e22", "9" * 38: "9" * 38}
-    check(spark, T.DecimalType(38, 0), {k: Decimal(v) for k, v in good.items()}, ["42.5", "1" + "0" * 38, "1e39", '"1e38"', "9" * 41])
+    check(spark, T.DecimalType(38, 0), {k: Decimal(v) for k, v in good.items()}, ["42.5", "1" + "0" * 39, "1e39", '"1e38"', "9" * 41])
 
 
 def test_a_huge_exponent_is_cheap(spark):
@@ -64,6 +65,17 @@ def test_doubles_as_decimals_are_exact(spark, values, scale):
         assert got == (exact if fits else None), (v, scale)
 
 
+@pytest.mark.parametrize("scale", [0, 2])
+def test_doubles_at_powers_of_ten(spark, scale):
+    """The double nearest to a power of ten lies below it, on it or above it."""
+    for k in range(20, 39 - scale):
+        t, around = T.DecimalType(k + scale, scale), []
+        for v in (10.0**k, math.nextafter(10.0**k, 0), math.nextafter(10.0**k, math.inf)):
+            around += [v, -v]
+        for v, (got, _) in zip(around, cells(spark, t, [repr(v) if "e" in repr(v) else repr(v) + "e0" for v in around]), strict=True):
+            assert got == (Decimal(v) if abs(Decimal(v)) < Decimal(10) ** k else None), (v, k)
+
+
 def test_timestamps(spark):
     at = dt.datetime
     local = {'"2026-08-05T12:34:56.789"': at(2026, 8, 5, 12, 34, 56, 789000), '"2026-08-05t12:34"': at(2026, 8, 5, 12, 34), '"2026-08-05T12:34:56.7000"': at(2026, 8, 5, 12, 34, 56, 700000)}

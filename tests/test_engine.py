@@ -2,9 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import Engine, EngineConfig
-from tessera.errors import InvalidArgumentError, NotFoundError, NotReadOnlyError, SchemaError, TypeConversionError, UnsupportedError
-from tessera.operators import neighbors, shortest_paths, traverse
-from tessera.plans.partitions import Sharding, counts_agree, eligible, group_shards
+from tessera.errors import InvalidArgumentError, NotFoundError, NotReadOnlyError, SchemaError, UnsupportedError
+from tessera.operators import graph_edges, neighbors, shortest_paths, traverse
+from tessera.plans.partitions import Sharding, counts_agree, eligible, group_shards, obstacle
 from tessera.sources.cache import TtlCache
 from tessera.sources.overrides import read_override
 
@@ -72,12 +72,52 @@ def test_text_columns_do_not_show_numbers(spark):
 def test_strict_mode_raises_even_behind_a_filter(spark):
     texts = ['{"n":1,"id":1}', '{"n":2,"id":2}', '{"n":"x","id":3}']
     e = shop(spark, EngineConfig(type_coercion="STRICT", schema_sample_size=2), c=texts)
-    with pytest.raises(TypeConversionError, match="n: x"):
-        e.table("shop", "c").filter("id < 0")
-    assert e.table("shop", "c", ["id"]).count() == 3
+    for query in (e.table("shop", "c").filter("id < 0"), e.table("shop", "c").filter("n > 5").select("n"), e.table("shop", "c").select("n").distinct(), e.table("shop", "c").groupBy("id").agg(F.max("n"))):
+        with pytest.raises(Exception, match=r"TYPE_CONVERSION_ERROR.*n: x"):
+            query.collect()
+    assert e.table("shop", "c", ["id"]).count() == 3 == e.table("shop", "c").count()
+    assert sorted(r[0] for r in e.table("shop", "c").select("id").collect()) == [1, 2, 3]
+    assert e.table("shop", "c").limit(2).select("n").count() == 2
     nested = shop(spark, EngineConfig(type_coercion="STRICT", schema_sample_size=1), c=['{"a":[{"b":1}]}', '{"a":[{"b":1},{"b":true}]}'])
-    with pytest.raises(TypeConversionError, match=r"a\[1\]\.b: true"):
-        nested.table("shop", "c")
+    with pytest.raises(Exception, match=r"a\[1\]\.b: true"):
+        nested.table("shop", "c").collect()
+
+
+def test_strict_mode_through_the_passthrough(spark):
+    texts = ['{"n":1,"id":1}', '{"n":2,"id":2}', '{"n":"x","id":3}']
+    strict = lambda: shop(spark, EngineConfig(type_coercion="STRICT", schema_sample_size=2), c=texts)
+    assert [r[0] for r in strict().query("shop", "SELECT id FROM c ORDER BY id").collect()] == [1, 2, 3]
+    for q in ("SELECT n FROM c", "SELECT id FROM c WHERE n = 1", "SELECT max(n) FROM c", "SELECT doc FROM c"):
+        with pytest.raises(Exception, match=r"TYPE_CONVERSION_ERROR.*n: x"):
+            strict().query("shop", q).collect()
+    lenient = shop(spark, EngineConfig(schema_sample_size=2), c=texts)
+    assert sorted(map(str, (r["n"] for r in lenient.query("shop", "SELECT doc FROM c").collect()))) == ["1", "2", "None"]
+
+
+def test_the_passthrough_leaves_the_users_views_alone(spark):
+    spark.sql("SELECT 'mine' AS x").createOrReplaceTempView("users")
+    e = shop(spark, users=USERS, others=USERS)
+    out = e.query("shop", "SELECT u.name FROM users u JOIN others o ON u.age = o.age WHERE u.age > 40")
+    assert [r[0] for r in spark.table("users").collect()] == ["mine"] and not spark.catalog.tableExists("others")
+    assert [r[0] for r in out.collect()] == ["bob"]
+    with pytest.raises(InvalidArgumentError):
+        e.query("shop", "SELECT nme FROM users")
+    assert [r[0] for r in spark.table("users").collect()] == ["mine"]
+    spark.catalog.dropTempView("users")
+
+
+def test_search_views_and_recursion_in_query_text(spark):
+    e = shop(spark, users=USERS, knows=['{"_from":"users/ada","_to":"users/bob"}', '{"_from":"users/bob","_to":"users/eve"}']).register_search_view("shop", "people_search")
+    with pytest.raises(UnsupportedError, match="search view"):
+        e.query("shop", "SELECT * FROM people_search")
+    reach = "WITH RECURSIVE r(v, d) AS (SELECT 'users/ada', 0 UNION ALL SELECT k._to, r.d + 1 FROM r JOIN knows k ON k._from = r.v WHERE r.d < 3) SELECT v, d FROM r WHERE d > 0"
+    assert sorted(tuple(r) for r in e.query("shop", reach).collect()) == [("users/bob", 1), ("users/eve", 2)]
+
+
+def test_sums_that_overflow_are_errors(spark):
+    e = shop(spark, c=['{"n":9223372036854775807}', '{"n":1}'])
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW|overflow"):
+        e.table("shop", "c").agg(F.sum("n")).collect()
 
 
 def test_names_that_differ_in_case(spark):
@@ -148,6 +188,7 @@ def test_eligibility():
     two = ("a", "b")
     assert eligible(Sharding(two)) and eligible(Sharding(two, "community-compat"))
     assert not any(map(eligible, (None, Sharding(("a",)), Sharding(two, None), Sharding(two, "other"), Sharding(two, "hash", "attr"))))
+    assert "not known" in obstacle(None) and "1 shards" in obstacle(Sharding(("a",))) and "other" in obstacle(Sharding(two, "other")) and "attr" in obstacle(Sharding(two, "hash", "attr"))
 
 
 def test_splits_cover_a_collection_once(spark):
@@ -157,6 +198,8 @@ def test_splits_cover_a_collection_once(spark):
     assert len(groups) == 3 and e.splits("shop", "c", aggregated=True) == [[]]
     got = [r[0] for g in groups for r in e.scan_split("shop", "c", g).collect()]
     assert sorted(got) == list(range(1000))
+    wrong = Engine(spark).register("shop", "c", rows, json="json", shard="shard", sharding=Sharding(("0", "1")))
+    assert wrong.splits("shop", "c") == [[]] and "add up" in wrong.obstacle("shop", "c") and e.obstacle("shop", "c") is None
     off = Engine(spark, EngineConfig(shard_parallelism_enabled=False)).register("shop", "c", rows, json="json", shard="shard", sharding=Sharding(("0", "1", "2")))
     assert off.splits("shop", "c") == [[]] and off.scan_split("shop", "c", []).count() == 1000
 
@@ -226,13 +269,31 @@ def test_traversal(spark):
     assert sorted(r["vertex"] for r in traverse(edges, starts, "v", 0, 1, "any").collect()) == ["a", "b", "c"]
     assert [r["path"] for r in traverse(edges, starts, "v", 2, 2, "inbound").collect()] == [["a", "c", "b"]]
     assert sorted((r["vertex"], r["depth"]) for r in neighbors(edges, starts, "v", 9).collect()) == [("a", 0), ("b", 1), ("c", 2), ("d", 3)]
-    assert [tuple(r) for r in shortest_paths(edges, starts, "v", "d", 5).collect()] == [("a", 3)]
+    assert [tuple(r) for r in shortest_paths(edges, starts, "v", "d", 5).collect()] == [("a", 3, ["a", "b", "c", "d"])]
+    assert [tuple(r) for r in shortest_paths(edges, starts, "v", "a", 5).collect()] == [("a", 0, ["a"])] and shortest_paths(edges, starts, "v", "d", 2).count() == 0
     with pytest.raises(InvalidArgumentError):
         traverse(edges, starts, "v", 2, 1)
     with pytest.raises(InvalidArgumentError):
         traverse(edges, starts, "v", direction="up")
 
 
+def test_parallel_edges_are_edges_of_their_own(spark):
+    ends = [("a", "b"), ("a", "b"), ("b", "a"), ("a|b", "c"), ("a", "b|c")]
+    for edges in (spark.createDataFrame(ends, "_from string, _to string"), spark.createDataFrame([(str(k), *e) for k, e in enumerate(ends)], "_key string, _from string, _to string")):
+        starts = spark.createDataFrame([("a",)], "v string")
+        assert sorted((r["vertex"], r["depth"]) for r in traverse(edges, starts, "v", 2, 3).collect()) == [("a", 2), ("a", 2), ("b", 3), ("b", 3), ("b|c", 3), ("b|c", 3)]
+        assert [tuple(r["path"]) for r in traverse(edges, starts, "v", 2, 2, "any").collect() if r["vertex"] == "a"].count(("a", "b", "a")) == 6
+
+
+def test_named_graphs(spark):
+    e = shop(spark, knows=['{"_key":"1","_from":"a","_to":"b"}'], likes=['{"_key":"1","_from":"b","_to":"c"}'], _graphs=['{"_key":"g","edgeDefinitions":[{"collection":"knows"},{"collection":"likes"}]}'])
+    e.databases["shop"]["likes"].edge = True
+    starts = spark.createDataFrame([("a",)], "v string")
+    assert [tuple(r["path"]) for r in traverse(graph_edges(e, "shop", "g"), starts, "v", 2, 2).collect()] == [("a", "b", "c")]
+    with pytest.raises(NotFoundError):
+        graph_edges(e, "shop", "none")
+
+
 def test_configuration():
     c = EngineConfig.from_properties({"schema.sample-size": "5", "schema.cache-ttl": "2m", "type-coercion": "strict", "statistics-enabled": "false", "max-splits": "3"})
     assert (c.schema_sample_size, c.schema_cache_ttl, c.strict, c.statistics_enabled, c.max_splits) == (5, 120, True, False, 3)
