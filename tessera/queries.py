@@ -14,6 +14,7 @@ A session writes each collection once, as Parquet with a VARIANT column, and rea
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -23,7 +24,8 @@ from .config import EngineConfig
 from .operators import neighbors, shortest_paths, traverse
 from .plans.partitions import Sharding
 from .sources import Engine
-from .sources.store import stored_documents
+from .sources.store import shared_folder, stored_documents
+from .streaming import typed_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -120,10 +122,10 @@ _EDGES = "(SELECT 'places/n' || n_nationkey AS _from, 'places/r' || n_regionkey
 _PLACES = "(SELECT 'n' || n_nationkey AS _key, 'places/n' || n_nationkey AS _id, n_name AS name FROM nation UNION ALL SELECT 'r' || r_regionkey, 'places/r' || r_regionkey, r_name FROM region) v"
 
 
-def _query(sql: str | None = None, name: str | None = None):
+def _query(sql: str | None = None, name: str | None = None, config: EngineConfig | None = None):
     def put(f):
         key = name or f.__name__.lstrip("_")
-        QUERIES[key] = lambda spark, sf: f(engine(spark, sf))
+        QUERIES[key] = lambda spark, sf: f(engine(spark, sf, config))
         if sql:
             SQL[key] = sql
         return f
@@ -182,7 +184,20 @@ def list_tables(e):
     return e.spark.createDataFrame(e.list_tables("shop"), "database_name string, table_name string")
 
 
-@_query("SELECT * FROM (VALUES ('id','bigint',false),('customer','bigint',false),('status','string',false),('total','double',false),('urgent','boolean',false),('_key','string',true),('_id','string',true),('_rev','string',true)) t(name, type, hidden)")
+@_query("SELECT 'shop' AS database_name UNION ALL SELECT 'spare'")
+def list_databases(e):
+    return e.spark.createDataFrame([(d,) for d in e.create_database("spare").list_schemas()], "database_name string")
+
+
+_SALES_SCHEMA = "SELECT * FROM (VALUES ('id','bigint',false),('customer','bigint',false),('status','string',false),('total','double',false),('urgent','boolean',false),('_key','string',true),('_id','string',true),('_rev','string',true)) t(name, type, hidden)"
+
+
+@_query(_SALES_SCHEMA, config=EngineConfig(schema_sample_random=True, schema_sample_size=50))
+def infer_random_sample(e):
+    return infer_schema(e)
+
+
+@_query(_SALES_SCHEMA)
 def infer_schema(e):
     return e.spark.createDataFrame([(c.name, c.type.simpleString(), c.hidden) for c in e.describe("shop", "sales")], "name string, type string, hidden boolean")
 
@@ -231,10 +246,10 @@ def _filter(key: str, condition: str, columns: str = '"order", line, quantity',
 _filter("filter_eq_bigint", "quantity = 17")
 _filter("filter_eq_varchar", "flag = 'R'")
 _filter("filter_eq_boolean", "taxed = true")
-_filter("filter_eq_double", "total = 100000.5 OR total = 50000.5", "id, total", _SALES, "sales")
+_filter("filter_eq_double", "near = 4", "id, near", _PEOPLE, "people")
 _filter("filter_in_bigint", "quantity IN (1, 2, 50)")
 _filter("filter_in_varchar", "flag IN ('A', 'N')")
-_filter("filter_in_double", "total IN (1000.5, 2000.5, 3000.5)", "id, total", _SALES, "sales")
+_filter("filter_in_double", "near IN (3, 4, 7, 8, 9007199254740992)", "id, near", _PEOPLE, "people")
 _filter("filter_in_boolean", "taxed IN (true, false)")
 _filter("filter_range_bigint_dirty", "quantity > 10 AND quantity <= 45")
 _filter("filter_range_double", "total BETWEEN 1000 AND 90000.5", "id, total", _SALES, "sales")
@@ -446,6 +461,43 @@ def scalar_array(e):
     return _items(e).select("order", "line", total.alias("s"), F.array_max("tags").alias("m"), F.size(known).cast("bigint").alias("n"), F.array_contains(known, F.col("line")).alias("h"), F.get(F.transform("tags", lambda x: x * 10), F.lit(0)).alias("t"))
 
 
+@_query(f'SELECT "order", line, quantity AS q, CAST(line * 2 AS BIGINT) AS double_, CAST(2 AS BIGINT) AS n, quantity IS NULL AS lacks, flag AS f FROM {_ITEMS}')
+def scalar_map(e):
+    m = F.create_map(F.lit("line"), F.col("line"), F.lit("quantity"), F.col("quantity"))
+    doubled = F.transform_values(m, lambda _, v: v * 2)
+    kept = F.map_filter(m, lambda _, v: v.isNotNull())
+    names = F.map_from_entries(F.array(F.struct(F.lit("f"), F.col("flag"))))
+    return _items(e).select("order", "line", F.element_at(m, "quantity").alias("q"), F.element_at(doubled, "line").alias("double_"), F.size(F.map_keys(m)).cast("bigint").alias("n"), (~F.map_contains_key(kept, "quantity")).alias("lacks"), F.element_at(names, "f").alias("f"))
+
+
+@_query(f"""SELECT id, segment AS s, CASE WHEN nation IS NULL THEN NULL ELSE '{{"nation":' || nation || '}}' END AS j, nation AS n, CAST(json_extract(CASE WHEN nation IS NULL THEN '[]' ELSE '[' || nation || ',7]' END, '$[1]') AS BIGINT) AS second FROM {_PEOPLE}""")
+def scalar_json(e):
+    nation, text = F.col("address.nation"), F.to_json("address")
+    one = F.when(nation.isNotNull(), F.to_json(F.struct(nation.alias("nation"))))
+    listed = F.when(nation.isNull(), F.lit("[]")).otherwise(F.to_json(F.array(nation, F.lit(7).cast("bigint"))))
+    return e.table("shop", "people").select("id", F.get_json_object(text, "$.segment").alias("s"), one.alias("j"), F.from_json(text, "nation bigint")["nation"].alias("n"), F.get(F.from_json(listed, "array<bigint>"), F.lit(1)).alias("second"))
+
+
+_FORMS = ["Z", "a", "e\u0301", "\u00e9", "\u00c9", "soft\u00adhyphen", "softhyphen", "\ufffd", "\U0001f600", "z", "Straße", "STRASSE", "a", "\u00e9"]
+_NAMED = "(SELECT * FROM (VALUES " + ", ".join(f"({k}, '{n}')" for k, n in enumerate(_FORMS)) + ") t(k, name)) t"
+
+
+def _forms(e) -> DataFrame:
+    rows = [(k, f'{{"name":"{n}"}}') for k, n in enumerate(_FORMS)]
+    return e.register("shop", "forms", e.spark.createDataFrame(rows, "k int, json string"), json="json", order="k").table("shop", "forms")
+
+
+@_query(f"SELECT name, count(*) AS n, count(*) FILTER (WHERE name = '\u00e9') AS composed, count(*) FILTER (WHERE name = 'softhyphen') AS soft FROM {_NAMED} GROUP BY name")
+def text_byte_exact(e):
+    return _forms(e).groupBy("name").agg(F.count("*").alias("n"), F.count_if(F.col("name") == "\u00e9").alias("composed"), F.count_if(F.col("name") == "softhyphen").alias("soft"))
+
+
+@_query(f"SELECT name, name > 'z' AS after, name < '\ufffd' AS before, rank() OVER (ORDER BY name) AS r FROM (SELECT DISTINCT name FROM {_NAMED}) d")
+def text_code_point_order(e):
+    t = _forms(e).distinct()
+    return t.select("name", (F.col("name") > "z").alias("after"), (F.col("name") < "\ufffd").alias("before"), F.rank().over(Window.orderBy("name")).cast("bigint").alias("r"))
+
+
 # -- sort, limit, set operations
 
 
@@ -505,12 +557,14 @@ for _name, _sql, _f in (
 
 
 def _join(key: str, how: str, sql: str):
+    """All sales and all people; half of the people have no zip, a null key that matches nothing on either side."""
+
     def f(e):
-        s, p = e.table("shop", "sales").select("id", "customer", "total").filter("total > 100000"), e.table("shop", "people").select(F.col("id").alias("pid"), "name").filter("pid % 3 = 0")
+        s, p = e.table("shop", "sales").select("id", "customer", "total"), e.table("shop", "people").select(F.col("address.zip").alias("pid"), "name")
         out = s.join(p, s.customer == p.pid, how)
         return out.select("id", "total", "name") if how in ("inner", "left", "right", "full") else out.select("id", "total")
 
-    _query(f"WITH a AS (SELECT id, customer, total FROM {_SALES} WHERE total > 100000), b AS (SELECT id AS pid, name FROM {_PEOPLE} WHERE id % 3 = 0) {sql}", key)(f)
+    _query(f"WITH a AS (SELECT id, customer, total FROM {_SALES}), b AS (SELECT zip AS pid, name FROM {_PEOPLE}) {sql}", key)(f)
 
 
 for _how in ("inner", "left", "right", "full"):
@@ -592,6 +646,46 @@ def override_misspelled(e):
     return e.table("shop", "orders_declared", ["id", "misspelled", "note"])
 
 
+# -- strict mode: columns that fit read as ever, and dirty columns that a query does not read do no harm
+
+_STRICT = EngineConfig(type_coercion="STRICT")
+
+
+@_query(f'SELECT "order", count(*) AS n, max(line) AS m FROM {_ITEMS} GROUP BY "order"', config=_STRICT)
+def strict_clean_columns(e):
+    return e.table("shop", "items").groupBy("order").agg(F.count("*").alias("n"), F.max("line").alias("m"))
+
+
+@_query(f"SELECT * FROM {_SALES} WHERE total > 1000", config=_STRICT)
+def strict_scan(e):
+    return e.table("shop", "sales").filter("total > 1000")
+
+
+@_query(f'SELECT line, count(*) AS n FROM {_ITEMS} GROUP BY line', config=_STRICT)
+def strict_passthrough(e):
+    return e.query("shop", "SELECT line, count(*) AS n FROM items GROUP BY line")
+
+
+@_query(f"SELECT status, max(id) AS m FROM {_SALES} GROUP BY status", config=_STRICT)
+def strict_passthrough_documents(e):
+    return e.query("shop", "SELECT doc FROM sales").groupBy("status").agg(F.max("id").alias("m"))
+
+
+# -- streaming
+
+
+@_query(f"SELECT id, status, total FROM {_SALES}")
+def stream_typed(e):
+    """All stored sales as a stream that ends with what is there, written by micro-batches and read back."""
+    stored, folder = e.databases["shop"]["sales"].documents(), f"{shared_folder(e.spark)}/stream-{uuid.uuid4().hex}"
+    files = stored.inputFiles()[0].rpartition("/")[0]
+    fields = {c.name: c.type for c in e.describe("shop", "sales") if c.name in ("id", "status", "total")}
+    stream = typed_stream(e.spark.readStream.schema(stored.schema).parquet(files), fields)
+    q = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(f"{folder}/out")
+    q.awaitTermination()
+    return e.spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
 # -- passthrough, traversal, statistics
 
 
@@ -636,9 +730,28 @@ def traverse_2_any(e):
     return traverse(e.table("shop", "lies_in", ["_key", "_from", "_to"]), starts, "_id", 2, 2, "any").select("start", "vertex", "depth")
 
 
-@_query(f"WITH RECURSIVE reach(start, vertex, depth, used) AS (SELECT _id, _id, 0, '' FROM {_PLACES} UNION ALL {_STEP} 6) SELECT start, min(depth) AS depth FROM reach WHERE vertex = 'places/n1' GROUP BY start")
+_WALK = f"SELECT r.start, e._to AS vertex, r.depth + 1 AS depth, list_append(r.path, e._to) AS path FROM reach r JOIN {_EDGES} ON e._from = r.vertex AND NOT list_contains(r.path, e._to) WHERE r.depth < 6"
+
+
+@_query(f"WITH RECURSIVE reach(start, vertex, depth, path) AS (SELECT _id, _id, 0, [_id] FROM {_PLACES} UNION ALL {_WALK}) SELECT start, min(depth) AS depth, array_to_string(min({{'d': depth, 'p': path}}).p, ' > ') AS path FROM reach WHERE vertex = 'places/n1' GROUP BY start")
 def shortest_path(e):
-    return shortest_paths(e.table("shop", "lies_in"), e.table("shop", "places", ["_id"]), "_id", "places/n1", 6)
+    found = shortest_paths(e.table("shop", "lies_in"), e.table("shop", "places", ["_id"]), "_id", "places/n1", 6)
+    return found.select("start", "depth", F.array_join("path", " > ").alias("path"))
+
+
+_TWICE = f"(SELECT _from, _to FROM {_EDGES} UNION ALL SELECT _from, _to FROM {_EDGES})"
+
+
+@_query(f"SELECT p._from AS start, q._to AS vertex, count(*) AS n FROM {_TWICE} p JOIN {_TWICE} q ON p._to = q._from GROUP BY 1, 2")
+def traverse_parallel(e):
+    """Every edge twice and without a key; no two successive edges of these are the same, so all combinations are paths."""
+    edges = e.table("shop", "lies_in", ["_from", "_to"])
+    return traverse(edges.unionByName(edges), e.table("shop", "places", ["_id"]), "_id", 2, 2).groupBy("start", "vertex").agg(F.count("*").alias("n"))
+
+
+@_query(f"WITH RECURSIVE reach(v, d) AS (SELECT 'places/n1', 0 UNION ALL SELECT e._to, reach.d + 1 FROM reach JOIN {_EDGES} ON e._from = reach.v WHERE reach.d < 3) SELECT v, d FROM reach")
+def passthrough_traversal(e):
+    return e.query("shop", "WITH RECURSIVE reach(v, d) AS (SELECT 'places/n1', 0 UNION ALL SELECT l._to, reach.d + 1 FROM reach JOIN lies_in l ON l._from = reach.v WHERE reach.d < 3) SELECT v, d FROM reach")
 
 
 @_query("SELECT count(*) AS items, CAST(1 AS BIGINT) AS global_, CAST(NULL AS BIGINT) AS grouped, CAST(9 AS BIGINT) AS grouped_limit FROM lineitem")
