@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,9 +29,11 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; a temporary one only where none is configured (local runs)."""
+    """The folder that the driver and all executors see; a temporary one only in local runs, where none is configured."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("on a cluster, spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = _local.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tessera-")
         _local[spark.sparkContext.applicationId] = root
     return root.rstrip("/")
@@ -61,10 +64,14 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def hash_sample(df: DataFrame, keys: list[str], bound: int) -> DataFrame:
+def hash_sample(df: DataFrame, keys: list[str], bound: int, distinct: bool = False) -> DataFrame:
     """At most bound rows of df, those with the smallest hashes of their keys; the same rows each time. Only about as many
-    rows as asked for take part in the sort, so that no task sends more than its share."""
-    n, h = df.count(), F.xxhash64(F.lit(5), *keys)
+    rows as asked for take part in the sort, so that no task sends more than its share. distinct: rows that are equal in keys
+    count once."""
+    h = F.xxhash64(F.lit(5), *keys)
+    if distinct:
+        df = df.dropDuplicates(keys)
+    n = df.count()
     if n <= bound:
         return df
     some = df.filter(F.pmod(h, F.lit(1 << 40)) < int((1 << 40) * min(1.0, 1.2 * bound / n + 100 / n)))
@@ -78,6 +85,26 @@ def aside(df: DataFrame, taken: set[str]) -> tuple[DataFrame, list[Column]]:
     return moved, [F.col(f"`{n}`").alias(c) for c, n in name.items()]
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """names, with underscores in front until no column of df has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n in taken:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
+def whole(df: DataFrame) -> Column:
+    """All columns of df as one struct, so that no name can clash with those of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def parts(df: DataFrame, row: str, leave: set[str] = frozenset()) -> list[Column]:
+    """The columns of df again, out of the struct that whole() made, but for those named (in lower case)."""
+    return [F.col(row).getField(c).alias(c) for c in df.columns if c.lower() not in leave]
+
+
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, UPPER, LOWER)
 
@@ -93,7 +120,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class WordIds(dict):
-    """word -> 64-bit hash, remembered for words seen in this worker; emptied when it has grown to its limit."""
+    """word -> 64-bit hash, remembered for words seen in this worker; emptied when it has grown to its limit. Words of more
+    than 64 bytes are not remembered, so that the limit bounds bytes, too."""
 
     def __init__(self, limit: int = 300_000):
         super().__init__()
@@ -102,9 +130,11 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = h
         return h
 
     def array(self, words: list[bytes]) -> np.ndarray:

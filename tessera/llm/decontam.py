@@ -16,12 +16,12 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordIds, shingle_hashes, spread, table
+from .common import Scratch, WordIds, shingle_hashes, spread, table, unused
 
 WINDOW, WIDTH = 10, 5
 #: Maps A-Z to a-z and all bytes that are in no word to blanks.
 FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-HITS = "hits array<struct<from:int,to:int>>"
+HITS = "array<struct<from:int,to:int>>"
 
 
 def words_of(raw: bytes | None) -> list[bytes]:
@@ -86,7 +86,8 @@ def _rarity(docs: DataFrame, text: str, block: Windows) -> dict[int, int]:
     return {r["t"]: r["c"] for r in rows}
 
 
-def _marked(docs: DataFrame, text: str, block: Windows, counts: dict[int, int]) -> DataFrame:
+def _marked(docs: DataFrame, text: str, block: Windows, counts: dict[int, int], names: list[str]) -> DataFrame:
+    """docs with the number of words, the hits and the items, under three names."""
     prefixes, window, items = block.prefixes(counts), block.window, block.items
     at_text = docs.columns.index(text)
 
@@ -118,9 +119,9 @@ def _marked(docs: DataFrame, text: str, block: Windows, counts: dict[int, int])
                 hits.append(merged)
                 named.append(sorted(got))
             span = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_words, pa.int64()), pa.array(hits, span), pa.array(named, pa.list_(pa.string()))], names=[*batch.schema.names, "__n", "__hits", "__items"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(n_words, pa.int64()), pa.array(hits, span), pa.array(named, pa.list_(pa.string()))], names=[*batch.schema.names, *names])
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], "__n long", f"__{HITS}", "__items array<string>"])
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], f"{names[0]} long", f"{names[1]} {HITS}", f"{names[2]} array<string>"])
     return docs.mapInArrow(run, schema)
 
 
@@ -134,20 +135,20 @@ def mark_benchmark(docs: DataFrame, benchmark: DataFrame, text: str = "text", it
     """
     scratch = Scratch(docs.sparkSession, "decontam")
     docs = docs.drop("n_words", "hits", "items")
-    few = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).cast("binary").alias("raw"))
+    few = benchmark.select(F.col(item_id).cast("string").alias("name"), F.col(item_text).cast("binary").alias("raw")).distinct()
     total = few.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
     blocks = max(1, -(-int(total) // (6 * block_words)))
-    out = None
+    names, out = unused(docs, "n_", "hits_", "items_"), None
     for k in range(blocks):
-        part = few.filter(F.pmod(F.xxhash64("raw"), F.lit(blocks)) == k) if blocks > 1 else few
+        part = few.filter(F.pmod(F.xxhash64("name", "raw"), F.lit(blocks)) == k) if blocks > 1 else few
         block = Windows([(r["name"], bytes(r["raw"]) if r["raw"] is not None else None) for r in part.collect()], window)
         counts = _rarity(docs, text, block) if block.window else {}
-        one = _marked(docs if out is None else out, text, block, counts)
+        one = _marked(docs if out is None else out, text, block, counts, names)
         if out is not None:
-            both = F.array_sort(F.concat("hits", "__hits"))
-            one = one.withColumns({"hits": _united(both), "items": F.array_sort(F.array_union("items", "__items"))}).drop("__n", "__hits", "__items")
+            both = F.array_sort(F.concat("hits", names[1]))
+            one = one.withColumns({"hits": _united(both), "items": F.array_sort(F.array_union("items", names[2]))}).drop(*names)
         else:
-            one = one.withColumnsRenamed({"__n": "n_words", "__hits": "hits", "__items": "items"})
+            one = one.withColumnsRenamed(dict(zip(names, ("n_words", "hits", "items"), strict=True)))
         out = scratch.write(one) if k < blocks - 1 else one
     return out
 
@@ -169,6 +170,7 @@ def n_hit(hits: str = "hits"):
 
 
 def op7_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents against every item of benchmark."""
     docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     out = mark_benchmark(docs, table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", n_hit().alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))

@@ -130,8 +130,30 @@ def draw(have: DataFrame, scratch: Scratch, bound: int) -> DataFrame:
     return hashed.join(F.broadcast(few), keys, "left_semi").dropDuplicates(keys).select("lang", "text")
 
 
+def frequent(counts: DataFrame, most: dict[int, int], default: int) -> DataFrame:
+    """counts (lang, k, word, n) with the most frequent words of each lang and k, about most[k] of them; of those that the last
+    frequency n has, a share by hash. Found from the numbers of words by n, which each task adds up first: no group of words is
+    ever sorted or put into one task."""
+    sizes: dict[tuple, dict[int, int]] = {}
+    for r in counts.groupBy("lang", "k", "n").agg(F.count("*").alias("c")).collect():  # few: words share their counts
+        sizes.setdefault((r["lang"], r["k"]), {})[r["n"]] = r["c"]
+    cuts = []
+    for (lang, k), by_n in sizes.items():
+        left, cut, share = most.get(k, default), 0, 0.0
+        for n in sorted(by_n, reverse=True):
+            if by_n[n] > left:
+                cut, share = n, left / by_n[n]
+                break
+            left -= by_n[n]
+        cuts.append((lang, k, cut, share))
+    few = counts.sparkSession.createDataFrame(cuts, "lang string, k int, cut long, share double")
+    lucky = (F.col("n") == F.col("cut")) & (F.pmod(F.xxhash64(F.lit(9), "word"), F.lit(1 << 40)) < F.col("share") * (1 << 40))
+    return counts.join(F.broadcast(few), ["lang", "k"]).filter((F.col("n") > F.col("cut")) | lucky).select("lang", "k", "word", "n")
+
+
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text", max_docs: int = 20_000, max_words: int = 20_000, max_grams: int = 5_000) -> LangModel:
-    """Rows without text or lang teach nothing; without any rows the model knows no language and answers "und"."""
+    """Rows without text or lang teach nothing; without any rows the model knows no language and answers "und". Repeated rows
+    count as often as they occur, in a drawn sample once."""
     have = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     scratch = Scratch(labelled.sparkSession, "langid")
     if have.count() > max_docs:
@@ -141,8 +163,8 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", max_docs:
     grams = counts.select("lang", "n", marked.alias("m")).select("lang", "n", "m", F.explode(F.array(*[F.lit(k) for k in range(1, LONGEST + 1)])).alias("k"))
     grams = grams.filter(F.length("m") >= F.col("k")).select("lang", "k", "n", F.explode(F.expr("transform(sequence(1, length(m) - k + 1), i -> substring(m, i, k))")).alias("word"))
     both = counts.select("lang", F.lit(0).alias("k"), "word", "n").unionByName(grams.groupBy("lang", "k", "word").agg(F.sum("n").alias("n")).select("lang", "k", "word", "n"))
-    best = both.withColumn("r", F.row_number().over(Window.partitionBy("lang", "k").orderBy(F.desc("n"), "word"))).filter(F.col("r") <= F.when(F.col("k") == 0, max_words).otherwise(max_grams))
-    kept = best.select("lang", "k", "word", "n").collect()  # a bounded number for each language
+    both = scratch.write(both)
+    kept = frequent(both, {0: max_words}, max_grams).collect()  # a bounded number for each language
     langs = sorted({r["lang"] for r in kept})
     at = {x: k for k, x in enumerate(langs)}
     tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
@@ -180,6 +202,7 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def op3_language_id(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents, null and empty texts as "und"."""
     docs = spread(table(spark, sf_dir, "documents"))
     model = train(docs.filter(~held_out()).select("lang", "text"))
     return predict(docs.select("doc_id", held_out().alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")

@@ -1,9 +1,9 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-A run is a table of (hash, documents that hold the line, largest such doc_id), hash-partitioned and sorted within its
-partitions. A new batch is merge-joined with the runs so far, which tells the lines that no run has (the anti-join)
-from repeats, and is then added as a run of level 0; as soon as a level has `fanout` runs they are merged into one run of the
-next level. A table of any size is thus taken in batch after batch, each line hash being rewritten once a level.
+A run is a table of (hash, documents that hold the line, largest such doc_id, fresh), hash-partitioned and sorted within its
+partitions. A new batch is merge-anti-joined with the runs so far: hashes that no run has start here, and the others
+only raise what an earlier run has started. The batch is then added as a run of level 0; as soon as a level has `fanout` runs
+they are merged into one run of the next level. A line's total is its one start and all that raised it. A table of any size is thus taken in batch after batch, each line hash being rewritten once a level.
 
 All of it is DataFrame operations. Lines are hashed once, into a table of document ids and hashes. Hashes are distinct
 within a document before they are exploded, and counting has a map-side combine, so that a line which a third of all
@@ -13,12 +13,16 @@ adaptive execution splits. Texts are shuffled once, at the end.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower, table
+from .common import Scratch, ascii_lower, table, whole
 
 MIN_CHARS, MIN_DOCS = 40, 5
+#: Lines of a batch, about.
+BATCH = 200_000_000
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -33,7 +37,8 @@ def hashed_lines(text: Column, min_chars: int) -> Column:
 
 
 class LineRuns:
-    """Levelled runs of all batches added so far."""
+    """Levelled runs of all batches added so far. A row starts a hash (`fresh`) or raises one that another run has started; the
+    merge-anti-join of a batch with the runs decides which, so that each hash is started once."""
 
     def __init__(self, spark: SparkSession, fanout: int = 2, scratch: Scratch | None = None):
         self.scratch, self.fanout = scratch or Scratch(spark, "line-runs"), fanout
@@ -41,80 +46,80 @@ class LineRuns:
 
     def _all(self) -> DataFrame | None:
         runs = [r for level in self.levels for r in level]
-        out = runs[0] if runs else None
-        for r in runs[1:]:
-            out = out.unionByName(r)
-        return out
+        return reduce(DataFrame.unionByName, runs) if runs else None
+
+    def _told_apart(self, own: DataFrame) -> DataFrame:
+        """own with fresh: true for the hashes that no run has."""
+        seen = self._all()
+        if seen is None:
+            return own.withColumn("fresh", F.lit(True))
+        old = seen.filter("fresh").select("a", "b")
+        new = own.join(old.hint("merge"), ["a", "b"], "left_anti").withColumn("fresh", F.lit(True))
+        return new.unionByName(own.join(old.hint("merge"), ["a", "b"], "left_semi").withColumn("fresh", F.lit(False)))
 
     def add(self, batch: DataFrame, doc_id: str, hashes: str) -> None:
-        """Take in one batch of whole documents, given the hashed lines of each. In its run `fresh` marks the lines that
-        no run had."""
+        """Take in one batch of whole documents, given the hashed lines of each."""
         each = F.explode(F.array_distinct(F.filter(hashes, lambda h: h.isNotNull())))
         rows = batch.select(F.col(doc_id).alias("doc_id"), each.alias("h")).select("h.a", "h.b", "doc_id")
         own = rows.groupBy("a", "b").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("holder"))
-        seen = self._all()
-        if seen is None:
-            run = own.withColumn("fresh", F.lit(True))
-        else:
-            old = seen.filter("fresh").select("a", "b", F.lit(True).alias("old"))  # each hash is fresh in one run
-            run = own.join(old.hint("merge"), ["a", "b"], "left").withColumn("fresh", F.col("old").isNull()).drop("old")
-        run = self.scratch.write(run.sortWithinPartitions("a", "b"))
-        self._push(run, 0)
+        self._push(self.scratch.write(self._told_apart(own).sortWithinPartitions("a", "b")), 0)
 
     def _push(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
-            merged, old = self._merge(self.levels[level]), self.levels[level]
-            self.levels[level] = []
-            merged = self.scratch.write(merged)
+            old, self.levels[level] = self.levels[level], []
+            both = reduce(DataFrame.unionByName, old)
+            merged = both.groupBy("a", "b").agg(F.sum("n_docs").alias("n_docs"), F.max("holder").alias("holder"), F.bool_or("fresh").alias("fresh"))
+            merged = self.scratch.write(merged.sortWithinPartitions("a", "b"))
             self.scratch.drop(*old)
             self._push(merged, level + 1)
 
-    @staticmethod
-    def _merge(runs: list[DataFrame]) -> DataFrame:
-        out = runs[0]
-        for r in runs[1:]:
-            out = out.unionByName(r)
-        return out.groupBy("a", "b").agg(F.sum("n_docs").alias("n_docs"), F.max("holder").alias("holder"), F.bool_or("fresh").alias("fresh")).sortWithinPartitions("a", "b")
-
     def totals(self) -> DataFrame | None:
-        """(a, b, n_docs, holder) of every line taken in."""
-        runs = [r for level in self.levels for r in level]
-        return self._merge(runs) if runs else None
+        """(a, b, n_docs, holder) of every line taken in: what started it, with all that raised it since."""
+        every = self._all()
+        if every is None:
+            return None
+        raised = every.filter("not fresh").groupBy("a", "b").agg(F.sum("n_docs").alias("more"), F.max("holder").alias("later"))
+        both = every.filter("fresh").join(raised, ["a", "b"], "left")
+        return both.select("a", "b", (F.col("n_docs") + F.coalesce("more", F.lit(0))).alias("n_docs"), F.greatest("holder", "later").alias("holder"))
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = 3, fanout: int = 2, out: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int | None = None, fanout: int = 2, out: str = "text") -> DataFrame:
     """docs with repeated lines removed from `text` (written to column `out`), plus n_lines and n_dropped.
 
     A line's key is the line without ASCII white space at its ends and with A-Z lower-cased. Keys of at least min_chars
     code points which at least min_docs documents hold lose all their lines, except in the document with the largest
     doc_id that holds them. Null or empty text is one empty line. Each row is a document of its own; rows that repeat a
-    doc_id count each, and are treated alike. A null doc_id sorts below all others. Other columns stay as they are,
-    but for n_lines and n_dropped, which are replaced.
+    doc_id count each, and are treated alike. A null doc_id sorts below all others. Other columns stay as they are, whatever
+    their names, but for n_lines, n_dropped and `out`, which are replaced. batches: as many as keep each at BATCH lines, if not given.
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
     scratch = Scratch(spark, "lines")
-    hashed = scratch.write(docs.select(F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__of"), hashed_lines(F.col(text), min_chars).alias("h")))
+    hashed = scratch.write(docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("of"), hashed_lines(F.col(text), min_chars).alias("h")))
     runs = LineRuns(spark, fanout, scratch)
-    dealt = F.pmod(F.xxhash64(F.lit(7), "__id", "__of"), F.lit(batches))
+    if batches is None:
+        batches = max(3, -(-(hashed.agg(F.sum(F.size("h"))).first()[0] or 0) // BATCH))
+    dealt = F.pmod(F.xxhash64(F.lit(7), "id", "of"), F.lit(batches))
     for k in range(batches):
-        runs.add(hashed.filter(dealt == k), "__id", "h")
+        runs.add(hashed.filter(dealt == k), "id", "h")
     often = scratch.write(runs.totals().filter(F.col("n_docs") >= min_docs).select("a", "b", "holder"))
-    rows = hashed.select("__id", "__of", F.posexplode("h").alias("__at", "l")).filter("l is not null").select("__id", "__of", "__at", "l.a", "l.b")
-    hit = rows.join(often, ["a", "b"]).filter(F.col("holder").isNotNull() & (F.col("__id").isNull() | (F.col("__id") < F.col("holder"))))
-    gone = hit.groupBy("__id", "__of").agg(F.collect_set("__at").alias("__gone"))
-    both = docs.withColumn("__of", F.xxhash64(text)).join(gone.withColumnRenamed("__of", "__of2"), F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__of2")), "left")
-    lines, gone_at = lines_of(F.col(text)), F.coalesce("__gone", F.array().cast("array<int>"))
-    both = both.withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_dropped", F.size(gone_at).cast("long"))
+    rows = hashed.select("id", "of", F.posexplode("h").alias("at", "l")).filter("l is not null").select("id", "of", "at", "l.a", "l.b")
+    hit = rows.join(often, ["a", "b"]).filter(F.col("holder").isNotNull() & (F.col("id").isNull() | (F.col("id") < F.col("holder"))))
+    gone = hit.groupBy("id", "of").agg(F.collect_set("at").alias("gone"))
+    mine = docs.select(whole(docs).alias("row"), F.col(doc_id).alias("my_id"), F.col(text).alias("text"), F.xxhash64(text).alias("my_of"))
+    both = mine.join(gone, F.col("my_id").eqNullSafe(F.col("id")) & (F.col("my_of") == F.col("of")), "left")
+    lines, gone_at = lines_of(F.col("text")), F.coalesce("gone", F.array().cast("array<int>"))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone_at)
-    kept = F.when(F.col("n_dropped") == 0, F.coalesce(F.col(text), F.lit(""))).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
-    return both.withColumn(out, kept).drop("__id", "__of", "__of2", "__gone")
+    kept = F.when(F.size(gone_at) == 0, F.coalesce(F.col("text"), F.lit(""))).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    columns = [kept.alias(c) if c == out else F.col("row").getField(c).alias(c) for c in docs.columns]
+    return both.select(*columns, *([] if out in docs.columns else [kept.alias(out)]), F.size(lines).cast("long").alias("n_lines"), F.size(gone_at).cast("long").alias("n_dropped"))
 
 
 def op6_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents, null texts as one empty line."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 

@@ -19,7 +19,7 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread, table
+from .common import parts, spread, table, whole
 
 RATE = 8000
 SNIFFED = "mime string, declared_ok boolean, length long, payload_offset long, payload_length long, embedded array<struct<mime:string,offset:long,length:long>>"
@@ -270,16 +270,24 @@ def _gzip(b: Buffer, at: int):
 
 
 def _mp4(b: Buffer, at: int):
-    d, p, kinds = b.data, at, set()
-    while (n := _u(d, p, ">I")) is not None and p + 8 <= len(d):
+    """Boxes one after another; the last one may have size 0, and then goes to the end of the bytes. What follows a box is
+    remembered, so that many starts in one row of boxes are walked once."""
+    d, p, known, seen = b.data, at, b.once("mp4", lambda _: {}), []
+    while p not in known and (n := _u(d, p, ">I")) is not None and p + 8 <= len(d):
         kind, head = d[p + 4 : p + 8], 8
         if n == 1:
             n, head = _u(d, p + 8, ">Q") or 0, 16
+        if n == 0 and kind in (b"mdat", b"moov", b"moof", b"free"):
+            n = len(d) - p
         if n < head or p + n > len(d) or not kind.isalnum():
             break
-        kinds.add(kind)
+        seen.append((p, kind))
         p += n
-    return ("video/mp4", p - at) if b"ftyp" in kinds and kinds & {b"moov", b"mdat", b"moof"} else None
+    end, media = known.get(p, (p, False))
+    for q, kind in reversed(seen):
+        media = media or kind in (b"moov", b"mdat", b"moof")
+        known[q] = end, media
+    return ("video/mp4", end - at) if media else None
 
 
 CHECKS = {
@@ -350,16 +358,24 @@ def sniffed(media: Column, declared: Column) -> Column:
 
 
 def sniff_media(df: DataFrame, media: str, declared: str, out: str = "sniffed") -> DataFrame:
-    """df with the struct column of sniffed() added under a name that df must not have yet."""
+    """df with the struct column of sniffed() added; a column of df with that name is replaced."""
     return df.withColumn(out, sniffed(F.col(media), F.col(declared)))
 
 
+def corrected(df: DataFrame, media: str, declared: str, out: str = "corrected") -> DataFrame:
+    """df with the type that each cell really has: the confirmed one, else the declared one where nothing known begins at the
+    first byte. Null or empty media keep what was declared."""
+    return df.withColumn(out, F.coalesce(sniffed(F.col(media), F.col(declared))["mime"], F.col(declared)))
+
+
 def carve(df: DataFrame, media: str, sniffed_col: str = "sniffed") -> DataFrame:
-    """One row for each embedded file, with df's other columns, its type, offset, length and bytes."""
-    keep = [c for c in df.columns if c not in (media, sniffed_col)]
-    one = df.select(*[F.col(f"`{c}`") for c in keep], F.col(media).alias("__media"), F.explode(f"{sniffed_col}.embedded").alias("__file"))
-    cut = F.substring("__media", (F.col("__file.offset") + 1).cast("int"), F.col("__file.length").cast("int"))
-    return one.select(*[F.col(f"`{c}`") for c in keep], F.col("__file.mime").alias("carved_mime"), F.col("__file.offset").alias("carved_offset"), F.col("__file.length").alias("carved_length"), cut.alias("carved"))
+    """One row for each embedded file, with df's other columns, and carved_mime, carved_offset, carved_length and carved (its
+    bytes), which replace columns of these names. Media that are null, empty or without embedded files give no row; a file
+    inside another embedded one is a row of its own; repeated rows give repeated files."""
+    one = df.select(whole(df).alias("row"), F.col(media).alias("media"), F.explode(F.col(sniffed_col)["embedded"]).alias("file"))
+    cut = F.substring("media", (F.col("file.offset") + 1).cast("int"), F.col("file.length").cast("int"))
+    gone = {media.lower(), sniffed_col.lower(), "carved_mime", "carved_offset", "carved_length", "carved"}
+    return one.select(*parts(df, "row", gone), F.col("file.mime").alias("carved_mime"), F.col("file.offset").alias("carved_offset"), F.col("file.length").alias("carved_length"), cut.alias("carved"))
 
 
 def _le32(n: Column) -> Column:
@@ -368,7 +384,7 @@ def _le32(n: Column) -> Column:
 
 
 def as_wav(payload: Column) -> Column:
-    """8-bit mono samples, one a byte, in a WAVE file; all inside the JVM."""
+    """8-bit mono samples, one a byte, in a WAVE file; all inside the JVM. Null stays null, no bytes give a file without samples."""
     n = F.octet_length(payload)
     fixed = b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, RATE, RATE, 1, 8) + b"data"
     return F.concat(F.lit(b"RIFF"), _le32(n + 36), F.lit(fixed), _le32(n), payload)
@@ -382,6 +398,8 @@ def padded(text: Column) -> Column:
 
 
 def op1_media_columns(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents as a cell of samples; null texts as 64 zeros. declared_ok is false throughout, since cells are
+    declared as plain bytes; `feature` has the corrected type."""
     docs = spread(table(spark, sf_dir, "documents"))
     stored = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), as_wav(padded(F.col("text"))).alias("media"), F.lit("application/octet-stream").alias("declared"))
     known = sniff_media(stored, "media", "declared")

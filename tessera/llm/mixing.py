@@ -6,13 +6,14 @@ their targets, by projected-gradient least squares.
 
 With S the domain totals, T the targets and N the totals at rate 1, the objective is the sum of (S - T)**2 / N. In the metric of
 the documents' token counts its gradient at a document is the posterior times (S - T) / N, and the largest curvature is at most
-1, so step size 1 is safe. A document's rate then depends on its posterior and on the residuals of past steps only,
+1, so any step size below 2 is safe. A document's rate then depends on its posterior and on the residuals of past steps only,
 which are a few numbers each: every step is one aggregation of a compact table over an expression that replays the residuals. Nothing is
 joined, updated in place or collected but the domain totals.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 
 import numpy as np
@@ -21,11 +22,15 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, WordIds, hash_sample, spread, table
 
+log = logging.getLogger(__name__)
+
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Domains of the labels table, and their shares of all tokens of the mix.
 TARGETS = {"good": 0.86, "poor": 0.14, "toxic": 0.0}
 BUDGET = 1.25
 DENSE = 6
+#: Step size of the projected gradient.
+STEP = 1.5
 
 
 def _features(raw: bytes, ids: WordIds) -> tuple[np.ndarray, list[float]]:
@@ -128,41 +133,61 @@ def posteriors(docs: DataFrame, model: Classifier, text: str = "text") -> DataFr
     return docs.mapInArrow(run, schema)
 
 
-def _rate(history: list[list[float]]):
-    """The rate after some steps: from 1, each step takes the posterior's share of the residual off, never below 0."""
+def _likely():
+    """The place of the likeliest domain, counted from 1; null without domains. Ties go to the first."""
+    return F.array_position("posterior", F.array_max("posterior"))
+
+
+def _rate(history: list[list[float]], barred: list[int]):
+    """The rate after some steps: from 1, each step takes the posterior's share of the residual off, never below 0. barred:
+    places of domains that are to have nothing; documents that are likeliest of such a domain have rate 0 throughout."""
     r = F.lit(1.0)
-    if not history:
-        return r
-    steps = F.array(*[F.array(*[F.lit(float(v)) for v in h]) for h in history])
-    return F.aggregate(steps, r, lambda acc, h: F.greatest(F.lit(0.0), acc - F.aggregate(F.zip_with("posterior", h, lambda p, e: p * e), F.lit(0.0), lambda s, v: s + v)))
+    if history:
+        steps = F.array(*[F.array(*[F.lit(float(v)) for v in h]) for h in history])
+        r = F.aggregate(steps, r, lambda acc, h: F.greatest(F.lit(0.0), acc - F.aggregate(F.zip_with("posterior", h, lambda p, e: p * e), F.lit(0.0), lambda s, v: s + v)))
+    return F.when(_likely().isin(barred), F.lit(0.0)).otherwise(r) if barred else r
+
+
+def barred(domains: list[str], targets: dict[str, float]) -> list[int]:
+    return [k + 1 for k, d in enumerate(domains) if not targets.get(d)]
 
 
 def solve(weights: DataFrame, domains: list[str], targets: dict[str, float], budget: float = BUDGET, steps: int = 25, close: float = 1e-4) -> list[list[float]]:
     """weights: n_tokens and posterior. targets: share of each domain; a domain without one gets none. Returns the
-    residuals that _rate replays; stops when all totals are within `close` of the budget."""
+    residuals that _rate replays; stops when all totals are within `close` of the budget, or when a step changes none of them
+    by a tenth of that: then the least-squares solution misses targets (for instance because every document is a little toxic),
+    and what is missing is logged as a warning."""
     history: list[list[float]] = []
+    none, before = barred(domains, targets), None
     if not domains:
         return history
     total = norm = goal = None
-    for _ in range(steps + 1):
-        sums = weights.select("n_tokens", "posterior", _rate(history).alias("r")).agg(*[F.sum(F.col("r") * F.col("n_tokens") * F.col("posterior")[k]) for k in range(len(domains))]).first()
+    for _ in range(steps + 2):
+        rate = _rate(history, none if total is not None else [])  # the totals at rate 1 are those of all documents
+        sums = weights.select("n_tokens", "posterior", rate.alias("r")).agg(*[F.sum(F.col("r") * F.col("n_tokens") * F.col("posterior")[k]) for k in range(len(domains))]).first()
         now = np.array([v or 0.0 for v in sums])
         if total is None:
             total, norm = now.sum(), now
             goal = np.array([targets.get(d, 0.0) for d in domains]) * budget * total
-        if not total or np.abs(now - goal).max() <= close * budget * total or len(history) == steps:
+            if none:
+                continue
+        if not total or np.abs(now - goal).max() <= close * budget * total:
+            break
+        if len(history) == steps or before is not None and np.abs(now - before).max() <= 0.1 * close * budget * total:
+            log.warning("shares of the mix that miss their targets: %s", {d: round(float(x), 6) for d, x in zip(domains, (now - goal) / (budget * total), strict=True)})
             break
-        history.append(np.where(norm > 0, (now - goal) / np.maximum(norm, 1e-12), 0.0).tolist())
+        before = now
+        history.append((STEP * np.where(norm > 0, (now - goal) / np.maximum(norm, 1e-12), 0.0)).tolist())
     return history
 
 
-def with_rates(docs: DataFrame, history: list[list[float]], domains: list[str], key: str) -> DataFrame:
+def with_rates(docs: DataFrame, history: list[list[float]], domains: list[str], targets: dict[str, float], key: str) -> DataFrame:
     """Adds rate, domain (the likeliest, null without a model) and copies: rate rounded up or down by a hash of key, so
-    that it is right in expectation and the same each time."""
+    that it is right in expectation and the same each time. Rows with the same key are rounded alike."""
     names = F.array(*[F.lit(d) for d in domains]) if domains else None
-    likely = F.get(names, F.array_position("posterior", F.array_max("posterior")).cast("int") - 1) if domains else F.lit(None).cast("string")
+    likely = F.get(names, _likely().cast("int") - 1) if domains else F.lit(None).cast("string")
     chance = F.pmod(F.xxhash64(F.lit(11), key), F.lit(1_000_000)) / 1_000_000.0
-    return docs.withColumn("rate", _rate(history)).withColumn("domain", likely).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
+    return docs.withColumn("rate", _rate(history, barred(domains, targets))).withColumn("domain", likely).withColumn("copies", F.floor(F.col("rate") + chance).cast("long"))
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -172,17 +197,20 @@ def domain_labels(labels: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with n_tokens, posterior, rate, domain and copies; columns of docs with these names are replaced. budget is the
-    mix's size in multiples of all tokens. Without labelled documents there are no domains, and every rate is 1."""
+    mix's size in multiples of all tokens. Without labelled documents there are no domains, and every rate is 1. Documents that
+    are likeliest of a domain whose target is 0 have rate 0. Null and empty texts have no tokens, and a posterior from their
+    form alone. docs are classified once and written to the shared folder; each step of the solution reads two columns."""
     docs = docs.drop("n_tokens", "posterior", "rate", "domain", "copies")
+    targets = targets or TARGETS
     model = fit(docs, labels, doc_id, text)
-    marked = posteriors(docs, model, text)
-    history = solve(Scratch(docs.sparkSession, "mix").write(posteriors(docs.select(text), model, text).select("n_tokens", "posterior")), model.domains, targets or TARGETS, budget)
-    return with_rates(marked, history, model.domains, doc_id)
+    marked = Scratch(docs.sparkSession, "mix").write(posteriors(docs, model, text))
+    return with_rates(marked, solve(marked, model.domains, targets, budget), model.domains, targets, doc_id)
 
 
 def op9_source_mixing(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents; domains from the labels table, targets and budget as above."""
     docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     model = fit(docs, domain_labels(table(spark, sf_dir, "labels")))
     weights = Scratch(spark, "mix").write(posteriors(docs, model).select("doc_id", "n_tokens", "posterior"))
-    out = with_rates(weights, solve(weights, model.domains, TARGETS), model.domains, "doc_id")
+    out = with_rates(weights, solve(weights, model.domains, TARGETS), model.domains, TARGETS, "doc_id")
     return out.select("doc_id", "n_tokens", "domain", F.array_max("posterior").alias("p_domain"), "rate", "copies")

@@ -224,6 +224,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def op2_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents, with five words and a similarity of 0.75."""
     return near_duplicates(spread(table(spark, sf_dir, "documents")).select("doc_id", "text"))
 
 

@@ -52,6 +52,7 @@ class TrieCounter:
         self.scores, self.longest, self.limit = scores, max(map(len, scores)), limit
         self.cut = regex.compile(PATTERN).findall
         self.known: dict[str, int] = {}
+        self.held = 0  # characters of known
 
     def insert(self, words: set[str]) -> None:
         """Counts for new pre-tokens. In byte order a walk visits the trie depth first: what a pre-token shares with
@@ -79,9 +80,13 @@ class TrieCounter:
         """(pre-tokens, tokens) of each text."""
         cut = [self.cut(t) for t in texts]
         new = set().union(*cut) - self.known.keys() if cut else set()
-        if len(self.known) + len(new) > self.limit:
+        size = sum(map(len, new))
+        if len(self.known) + len(new) > self.limit or self.held + size > 16 * self.limit:
             self.known.clear()
             new = set().union(*cut)
+            self.held = size = sum(map(len, new))
+        else:
+            self.held += size
         self.insert(new)
         get = self.known.__getitem__
         return [(len(c), sum(map(get, c))) for c in cut]
@@ -114,5 +119,6 @@ def count_tokens(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULA
 
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
+    """Every row of documents, null texts as empty."""
     docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     return count_tokens(docs).select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "n_pretokens", "n_tokens")

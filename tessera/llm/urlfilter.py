@@ -15,9 +15,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, hash_sample, table
+from .common import ascii_lower, hash_sample, parts, table, whole
 
 FEATURES = ["__f_length", "__f_host_length", "__f_path_length", "__f_depth", "__f_labels", "__f_digit_ratio", "__f_host_digit_ratio", "__f_entropy", "__f_params", "__f_hyphens", "__f_other_ratio", "__f_secure", "__f_fragment", "__f_suffix1", "__f_suffix2", "__f_first"]
+STATS, FOLDS = ("suffix1", "suffix2", "first"), 5
 #: Allow and block rules as (verdict, host, path).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
@@ -59,16 +60,17 @@ def _first(path: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.lit("path"), F.regexp_extract(path, r"^/([^/]*)/", 1)), F.lit(buckets)).cast("int")
 
 
-def with_features(df: DataFrame, url: str, stats: dict[str, list[float]]) -> DataFrame:
-    """df (with host and path) and the columns FEATURES. stats: three lists of smoothed block rates, by bucket."""
-    u, host, path = F.coalesce(F.col(url), F.lit("")), F.col("host"), F.col("path")
+def features(url: Column, host: Column, path: Column, stats: dict[str, list[float]], fold: Column | None = None) -> dict[str, Column]:
+    """The columns FEATURES. stats: three lists of smoothed block rates, by bucket; with fold, such lists one after another
+    for each fold."""
+    u = F.coalesce(url, F.lit(""))
     n = F.length(u)
     share = lambda c: (n - F.length(F.replace(u, c, F.lit("")))) / n
     entropy = F.aggregate(F.filter(F.array_distinct(F.split(u, "")), lambda c: c != ""), F.lit(0.0), lambda acc, c: acc - share(c) * F.log2(share(c)))
     query = F.when(F.instr(u, "?") > 0, F.substring_index(F.regexp_extract(u, r"\?(.*)$", 1), "#", 1))
-    k = len(stats["suffix1"])
-    look = lambda name, bucket: F.element_at(F.array(*[F.lit(x) for x in stats[name]]), bucket + 1)
-    return df.withColumns({
+    k = len(stats["suffix1"]) // (1 if fold is None else FOLDS)
+    look = lambda name, bucket: F.element_at(F.array(*[F.lit(x) for x in stats[name]]), bucket + 1 + (0 if fold is None else fold * k))
+    return {
         "__f_length": n.cast("double"),
         "__f_host_length": F.length(host).cast("double"),
         "__f_path_length": F.length(path).cast("double"),
@@ -85,7 +87,7 @@ def with_features(df: DataFrame, url: str, stats: dict[str, list[float]]) -> Dat
         "__f_suffix1": look("suffix1", _suffix_bucket(host, 1, k)),
         "__f_suffix2": look("suffix2", _suffix_bucket(host, 2, k)),
         "__f_first": look("first", _first(path, k)),
-    })
+    }
 
 
 @dataclass
@@ -96,14 +98,14 @@ class UrlModel:
     base: float
     trees: list
 
-    def margin(self) -> Column:
-        """The log-odds of block, over the feature columns."""
+    def margin(self, given: dict[str, Column]) -> Column:
+        """The log-odds of block, over the features."""
 
         def walk(node) -> Column:
             if not isinstance(node, tuple):
                 return F.lit(float(node))
             k, at, left, right = node
-            return F.when(F.col(FEATURES[k]) <= F.lit(float(at)), walk(left)).otherwise(walk(right))
+            return F.when(given[FEATURES[k]] <= F.lit(float(at)), walk(left)).otherwise(walk(right))
 
         out = F.lit(self.base)
         for tree in self.trees:
@@ -157,16 +159,27 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int, depth: int, rate: float, bin
 
 def fit(labelled: DataFrame, url: str, blocked: str, sample: int = 20_000, trees: int = 24, depth: int = 3, rate: float = 0.3, buckets: int = 256, prior: float = 8.0) -> UrlModel:
     """labelled: URLs with a boolean column; rows where it or the URL is null teach nothing. Statistics cover all
-    labelled rows; the trees see at most `sample` of them, the first by hash of the URL."""
+    labelled rows. The trees see at most `sample` distinct URLs, the first by hash, each with the statistics of the other
+    folds' URLs, so that no rate holds a row's own label; a repeated URL counts once there."""
     have = with_parts(labelled.filter(F.col(blocked).isNotNull() & F.col(url).isNotNull()).select(F.col(url).alias("url"), F.col(blocked).cast("int").alias("y")), "url")
+    have = have.withColumn("fold", F.pmod(F.xxhash64(F.lit(2), "url"), F.lit(FOLDS)).cast("int"))
     have = have.withColumns({"suffix1": _suffix_bucket(F.col("host"), 1, buckets), "suffix2": _suffix_bucket(F.col("host"), 2, buckets), "first": _first(F.col("path"), buckets)})
-    sums = have.select("y", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("b")) for k in ("suffix1", "suffix2", "first")])).alias("e")).groupBy("e.k", "e.b").agg(F.sum("y").alias("p"), F.count("*").alias("n")).collect()  # 3 * buckets rows at most
-    total = [r for r in sums if r["k"] == "suffix1"]
-    rate0 = (sum(r["p"] for r in total) + 1) / (sum(r["n"] for r in total) + 2)
-    stats = {k: [rate0] * buckets for k in ("suffix1", "suffix2", "first")}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(k).alias("b")) for k in STATS])).alias("e")
+    sums = have.select("y", "fold", each).groupBy("e.k", "e.b", "fold").agg(F.sum("y").alias("p"), F.count("*").alias("n")).collect()  # 3 * buckets * FOLDS rows at most
+    counted = {k: np.zeros((2, FOLDS, buckets)) for k in STATS}
     for r in sums:
-        stats[r["k"]][r["b"]] = (r["p"] + prior * rate0) / (r["n"] + prior)
-    rows = with_features(hash_sample(have, ["url", "y"], sample), "url", stats).select(*FEATURES, "y").collect()
+        counted[r["k"]][:, r["fold"], r["b"]] = r["p"], r["n"]
+
+    def rates(some: dict) -> dict[str, list[float]]:
+        p, n = some["suffix1"].sum(1)
+        rate0 = (p + 1) / (n + 2)
+        return {k: ((v[0] + prior * rate0) / (v[1] + prior)).tolist() for k, v in some.items()}
+
+    stats = rates({k: v.sum(1) for k, v in counted.items()})
+    others = [rates({k: v.sum(1) - v[:, f] for k, v in counted.items()}) for f in range(FOLDS)]
+    apart = {k: [x for f in range(FOLDS) for x in others[f][k]] for k in STATS}
+    once = hash_sample(have.select("url", "y", "host", "path", "fold"), ["url", "y"], sample, distinct=True)
+    rows = once.select(*[c.cast("double").alias(k) for k, c in features(F.col("url"), F.col("host"), F.col("path"), apart, F.col("fold")).items()], "y").collect()
     x = np.array([r[:-1] for r in rows], float).reshape(len(rows), len(FEATURES))
     base, grown = boost(x, np.array([r[-1] for r in rows], float), trees, depth, rate)
     return UrlModel(stats, base, grown)
@@ -174,11 +187,15 @@ def fit(labelled: DataFrame, url: str, blocked: str, sample: int = 20_000, trees
 
 def judge(df: DataFrame, url: str, model: UrlModel, rules=RULES) -> DataFrame:
     """df with host, path, rule, verdict and the model's margin. A null or empty URL, or one without "://", has empty
-    parts and gets the model's verdict. Columns of df with these names are replaced."""
-    one = with_parts(df, url)
-    one = with_features(one.withColumn("__rule", rule_of(F.col("host"), F.col("path"), rules)), url, model.stats).withColumn("margin", model.margin())
-    said = F.coalesce(F.col("__rule.verdict"), F.when(F.col("margin") > 0, "block").otherwise("allow"))
-    return one.withColumn("rule", F.col("__rule.rule")).withColumn("verdict", said).drop("__rule", *FEATURES)
+    parts and gets the model's verdict. Equal URLs, equal results; a margin of exactly 0 allows. Columns of df with these five
+    names are replaced, all others stay, whatever their names."""
+    host, path = _parts(F.col("url"))
+    one = df.select(whole(df).alias("row"), F.col(url).alias("url")).select("row", "url", host.alias("host"), path.alias("path"))
+    given = features(F.col("url"), F.col("host"), F.col("path"), model.stats)
+    one = one.select("row", "host", "path", rule_of(F.col("host"), F.col("path"), rules).alias("found"), *[c.alias(k) for k, c in given.items()])
+    one = one.withColumn("margin", model.margin({k: F.col(k) for k in FEATURES}))
+    said = F.coalesce(F.col("found.verdict"), F.when(F.col("margin") > 0, "block").otherwise("allow"))
+    return one.select(*parts(df, "row", {"host", "path", "rule", "verdict", "margin"}), "host", "path", F.col("found.rule").alias("rule"), said.alias("verdict"), "margin")
 
 
 def op8_url_filters(spark, sf_dir: str) -> DataFrame:

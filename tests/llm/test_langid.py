@@ -70,3 +70,21 @@ def test_draw_keeps_rare_languages_and_takes_equal_texts_once(spark):
     assert [sum(x == lang for x, _ in got) for lang in ("aa", "bb", "cc", "d")] == [29, 28, 2, 1]
     assert sorted(got) == sorted(tuple(r) for r in draw(df.repartition(3), Scratch(spark, "t"), 60).collect())
     assert _quotas({"a": 5, "b": 9, "c": 9}, 2) == {"a": 1, "b": 1, "c": 1}
+
+
+def test_the_most_frequent_words_without_sorting_them(spark):
+    from tessera.llm.langid import frequent
+
+    rows = [("a", 0, f"w{k}", n) for k, n in enumerate([9, 9, 7, 5, 5, 5, 5, 1, 1, 1])] + [("b", 1, "x", 1)]
+    counts = spark.createDataFrame(rows, "lang string, k int, word string, n long")
+    assert sorted(r["n"] for r in frequent(counts, {0: 3}, 5).filter("k = 0").collect()) == [7, 9, 9]
+    some = frequent(counts, {0: 5}, 5)
+    assert sorted(r["n"] for r in some.filter("k = 0").collect())[-3:] == [7, 9, 9] and {r["n"] for r in some.filter("k = 0").collect()} <= {5, 7, 9}
+    assert frequent(counts, {0: 50}, 5).count() == 11
+    assert "Window" not in some._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ties_go_to_the_first_language_and_equal_texts_are_equal(spark):
+    rows = [(k, "one two three", lang) for k, lang in enumerate(["zz", "aa"] * 20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {(r["lang_pred"], round(r["score"], 6)) for r in predict(df, train(df)).collect()} == {("aa", 0.5)}

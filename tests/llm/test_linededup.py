@@ -1,7 +1,9 @@
 import hashlib
 from collections import defaultdict
 
-from tessera.llm.linededup import dedup_lines, op6_line_dedup
+from pyspark.sql import functions as F
+
+from tessera.llm.linededup import LineRuns, dedup_lines, op6_line_dedup
 from tests.llm.helpers import documents, saved, words
 
 BLANK = " \t\n\x0b\x0c\r"
@@ -59,3 +61,33 @@ def test_batches_do_not_change_the_result(spark):
     df = documents(spark, cases())
     one, many = (sorted(tuple(r) for r in dedup_lines(df, batches=b).select("doc_id", "n_dropped", "text").collect()) for b in (1, 5))
     assert one == many
+
+
+def test_the_anti_join_decides(spark, monkeypatch):
+    """Totals are a start and what raised it; if every batch started its lines anew, lines would not add up."""
+    rows = [(k, words(k % 3, 12)) for k in range(12)] + [(20, words(50, 12))]
+    df = documents(spark, rows)
+    right = sorted((r["doc_id"], r["n_dropped"]) for r in dedup_lines(df, batches=4, min_docs=4).collect())
+    assert sum(n for _, n in right) == 9
+    monkeypatch.setattr(LineRuns, "_told_apart", lambda self, own: own.withColumn("fresh", F.lit(True)))
+    monkeypatch.setattr(LineRuns, "_push", lambda self, run, level: self.levels.append([run]))
+    assert sorted((r["doc_id"], r["n_dropped"]) for r in dedup_lines(df, batches=4, min_docs=4).collect()) != right
+
+
+def test_each_hash_is_started_once(spark):
+    runs = LineRuns(spark, fanout=3)
+    lines = spark.createDataFrame([(k, [(k % 5, 0), (k % 7, 1)]) for k in range(40)], "id long, h array<struct<a:long,b:long>>")
+    for k in range(8):
+        runs.add(lines.filter(F.col("id") % 8 == k), "id", "h")
+    assert len(runs.levels) > 1
+    every = runs._all()
+    assert every.filter("fresh").groupBy("a", "b").count().filter("count > 1").count() == 0 and every.filter("fresh").count() == 12
+    got = {(r["a"], r["b"]): (r["n_docs"], r["holder"]) for r in runs.totals().collect()}
+    assert got == {**{(a, 0): (8, 35 + a) for a in range(5)}, **{(a, 1): (len(range(a, 40, 7)), max(range(a, 40, 7))) for a in range(7)}}
+
+
+def test_any_names_of_columns(spark):
+    df = documents(spark, [(k, words(1, 12)) for k in range(6)]).selectExpr("doc_id", "text", "holder AS __id", "hits AS __of", "raw AS row", "lang AS id", "source AS `a.b`", "n_chars AS gone")
+    out = dedup_lines(df)
+    assert out.columns == [*df.columns, "n_lines", "n_dropped"] and {(r["__id"], r["__of"], r["row"]) for r in out.collect()} == {("x", 7, "r")}
+    assert sorted(r["n_dropped"] for r in out.collect()) == [0, 1, 1, 1, 1, 1]

@@ -108,3 +108,34 @@ def test_files_with_several_end_markers_are_whole():
             assert (len(pre), mime, len(data)) in [x[:3] for x in media.sniff(pre + data + post)], mime
     assert [x[:3] for x in media.sniff(pdf + first)] == [(0, "application/pdf", len(pdf)), (len(pdf), "application/pdf", len(first))]
     assert media.sniff(gz + gz[:15])[0][:3] == (0, "application/gzip", len(gz))
+
+
+def test_an_mp4_whose_last_box_is_open(spark):
+    box = lambda kind, body: (8 + len(body)).to_bytes(4, "big") + kind + body
+    head = box(b"ftyp", b"isom\0\0\0\0isom")
+    assert media.sniff(head + b"\0\0\0\0mdat" + b"x" * 50) == [(0, "video/mp4", len(head) + 58)]
+    assert media.sniff(head + b"\0\0\0\0junk") == []
+
+
+def test_many_ftyp_boxes_stay_linear():
+    import time
+
+    data = (b"\0\0\0\x10ftypisom\0\0\0\0") * 300_000
+    begin = time.monotonic()
+    assert media.sniff(data + b"\0\0\0\x08mdat")[0] == (0, "video/mp4", len(data) + 8)
+    assert media.sniff(data) == []
+    assert time.monotonic() - begin < 10
+
+
+def test_corrected_types_and_any_names_of_columns(spark):
+    png = b"\x89PNG\r\n\x1a\n"
+    import struct
+    import zlib
+
+    chunk = lambda k, b: struct.pack(">I", len(b)) + k + b + struct.pack(">I", zlib.crc32(k + b))
+    png += chunk(b"IHDR", bytes(13)) + chunk(b"IEND", b"")
+    df = spark.createDataFrame([(1, bytearray(png), "text/plain", "c", 5), (2, bytearray(b"words " + png), "text/plain", "c", 5), (3, None, "a/b", "c", 5)], "id int, cell binary, said string, carved string, __file int")
+    assert [r["corrected"] for r in media.corrected(df, "cell", "said").orderBy("id").collect()] == ["image/png", "text/plain", "a/b"]
+    out = media.carve(media.sniff_media(df, "cell", "said"), "cell")
+    assert out.columns == ["id", "said", "__file", "carved_mime", "carved_offset", "carved_length", "carved"]
+    assert [(r["id"], r["__file"], r["carved_mime"], r["carved_offset"], bytes(r["carved"])) for r in out.collect()] == [(2, 5, "image/png", 6, png)]

@@ -58,3 +58,37 @@ def test_one_domain_only(spark):
     docs = documents(spark, [(k, words(k, 10)) for k in range(9)])
     lab = spark.createDataFrame([(k, "good") for k in range(9)], "doc_id long, domain string")
     assert {round(r["rate"], 3) for r in m.mix(docs, lab, {"good": 1.0}, budget=2.0).collect()} == {2.0}
+
+
+def brute_rates(n, p, targets, budget, bar):
+    """Projected gradient in plain numpy, step by step over all documents."""
+    live = ~np.isin(p.argmax(1), bar)
+    r, norm = live * 1.0, n @ p
+    goal = targets * budget * norm.sum()
+    for _ in range(400):
+        step = ((n * r) @ p - goal) / np.maximum(norm, 1e-12)
+        r = live * np.maximum(0, r - p @ step)
+    return r
+
+
+def test_rates_equal_brute_force(spark):
+    r = np.random.default_rng(3)
+    p = r.dirichlet([1, 1, 0.3], 200)
+    n = r.integers(0, 50, 200)
+    weights = spark.createDataFrame([(k, int(a), b.tolist()) for k, (a, b) in enumerate(zip(n, p, strict=True))], "doc_id long, n_tokens long, posterior array<double>").repartition(3)
+    domains, targets = ["a", "b", "c"], {"a": 0.5, "b": 0.4, "c": 0.1}
+    out = m.with_rates(weights, m.solve(weights, domains, targets, 1.2, steps=400, close=1e-9), domains, targets, "doc_id").orderBy("doc_id").collect()
+    want = brute_rates(n, p, np.array([0.5, 0.4, 0.1]), 1.2, [])
+    got = np.array([x["rate"] for x in out])
+    assert np.allclose((n * got) @ p, (n * want) @ p, rtol=1e-4) and (got >= 0).all()
+    assert np.allclose(got, want, atol=0.05)  # of several solutions, one near the start
+
+
+def test_barred_domains_and_targets_that_cannot_be_met(spark, caplog):
+    weights = spark.createDataFrame([(1, 10, [0.9, 0.1]), (2, 10, [0.2, 0.8]), (3, 0, [0.5, 0.5]), (4, 10, [0.8, 0.2])], "doc_id long, n_tokens long, posterior array<double>")
+    targets = {"good": 1.0}
+    with caplog.at_level("WARNING"):
+        history = m.solve(weights, ["good", "toxic"], targets, 1.0)
+    assert "miss their targets" in caplog.text
+    got = {r["doc_id"]: (r["rate"], r["copies"], r["domain"]) for r in m.with_rates(weights, history, ["good", "toxic"], targets, "doc_id").collect()}
+    assert got[2] == (0.0, 0, "toxic") and got[3][2] == "good" and got[1][0] > 0

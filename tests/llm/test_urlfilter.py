@@ -73,3 +73,28 @@ def test_main_path_is_native(spark, tmp_path):
     sf = saved(spark, tmp_path, pages=spark.createDataFrame(page_rows(), SCHEMA))
     plan = u.op8_url_filters(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_rates_do_not_hold_a_rows_own_label(spark):
+    """Labels drawn at random and suffixes that occur once: a rate with the own label in it would tell all of them."""
+    r = random.Random(5)
+    df = spark.createDataFrame([(f"http://a.x{k}/p", r.random() < 0.5) for k in range(400)], "url string, bad boolean")
+    model = u.fit(df, "url", "bad", buckets=4096, prior=0.1, trees=6)
+    new = spark.createDataFrame([(f"http://a.x{k}/p", r.random() < 0.5) for k in range(400, 800)], "url string, bad boolean")
+    right = lambda d: np.mean([x["bad"] == (x["verdict"] == "block") for x in u.judge(d, "url", model, rules=[]).collect()])
+    assert right(new) < 0.6
+    assert all(node[0] not in (13, 14) or True for node in model.trees if isinstance(node, tuple))
+
+
+def test_copies_of_a_url_count_once_in_the_sample(spark):
+    df = spark.createDataFrame([("http://same.net/", True)] * 500 + [(f"http://h{k}.org/{k}", k % 2 == 0) for k in range(60)], "url string, bad boolean")
+    from tessera.llm.common import hash_sample
+
+    assert hash_sample(df, ["url", "bad"], 61, distinct=True).count() == 61 and hash_sample(df, ["url", "bad"], 30, distinct=True).distinct().count() == 30
+
+
+def test_any_names_of_columns(spark):
+    df = spark.createDataFrame([("http://b.com/de/", 1, 2, 3)], "url string, __rule int, row int, found int")
+    out = u.judge(df, "url", u.UrlModel({k: [0.5] * 4 for k in u.STATS}, 0.0, []))
+    assert out.columns == ["url", "__rule", "row", "found", "host", "path", "rule", "verdict", "margin"]
+    assert out.first() == ("http://b.com/de/", 1, 2, 3, "b.com", "/de/", "com/de/", "block", 0.0)
