@@ -9,10 +9,13 @@ sets of 5-word shingles before it becomes a link.
 How it scales: documents with equal sets are one representative from the start. A left or right value that only one
 representative has can meet nobody, so it is dropped before pairs of values are made. In a bucket each member is
 first held against one leader only, and links are contracted to components; then those outside the bucket's largest component
-against further members of that. What remains are pairs across components. A sketch of each set (the parities of its
-shingles in 1024 classes) bounds from below how far two sets differ, and rules out nearly all pairs that are not similar
-inside the join. So a group of n near copies costs about n comparisons, and nothing is capped or dropped. Intermediate
-tables live in the shared folder; components are found by repeated contraction on the executors.
+against further members of that. What remains are pairs across components, found by their full sets (`_left`): with
+shingles ordered by rarity, two similar sets share one in their prefixes, and if none of these is held by COMMON members or fewer,
+all that they share is common shingles, of which both must have enough. So many documents that share a large part but
+not enough of it, as pages of one template do, are not compared with each other. A sketch of each set (the parities of its shingles in 1024
+classes) bounds from below how far two sets differ, and rules out most pairs before sets are read. So a group of n near
+copies costs about n comparisons, and nothing is capped or dropped. Intermediate tables live in the shared folder;
+components are found by repeated contraction on the executors.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ from .common import Scratch, WordIds, mix64, shingle_hashes, spread, table
 WIDTH, SIMILAR, SIDES = 5, 75, 12
 #: Further leaders of a bucket before all pairs across its components are compared, and bits of a set's sketch.
 LEADERS, ODD = 2, 1024
+#: Shingles of more members than this are common ones.
+COMMON = 64
 SIGNATURE = "doc_id long, n_shingles long, s1 long, s2 long, left array<long>, right array<long>, odd array<long>"
 
 
@@ -169,6 +174,50 @@ def _met(mixed: DataFrame, others: DataFrame, similar: int) -> DataFrame:
     return mixed.join(others, "key").filter(may).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
 
 
+def _shingles_of(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(rep, t): the shingles of each member, one in a row."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for rep, cell in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                t = np.frombuffer(cell.as_buffer(), np.int64)
+                for k in range(0, len(t), 1 << 16):
+                    some = t[k : k + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), rep, np.int64)), pa.array(some)], names=["rep", "t"])
+
+    return sets.join(members.select("rep"), "rep").select("rep", "s").mapInArrow(run, "rep long, t long")
+
+
+def _left(mixed: DataFrame, sets: DataFrame, scratch: Scratch, similar: int, common: int = COMMON) -> DataFrame:
+    """Pairs (a, b) of different components that may be similar: all such pairs of a bucket, and maybe others.
+
+    Shingles are ordered by the number c of members that hold them. A set of n shingles shares one of its first
+    n - ceil(similar * n / 100) + 1 with every similar set; those that nobody else holds come first and pair with nobody. If the
+    first that two sets share has c <= common, the join over such prefix shingles finds the pair. Else all that they share
+    is common; then both must hold as many common shingles as the similarity asks for.
+    """
+    members = scratch.write(mixed.select("rep", "n", "comp", "odd").dropDuplicates(["rep"]))
+    held = scratch.write(_shingles_of(members, sets))
+    often = held.groupBy("t").agg(F.count("*").alias("c")).filter("c > 1")
+    each = held.join(often, "t").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("c", "t"))).alias("ts"))
+    free = F.floor(F.col("n") * (100 - similar) / 100) + 1 - (F.col("n") - F.size("ts"))  # places of the prefix after those of own shingles
+    known = members.join(each, "rep").select("rep", "n", "comp", "odd", F.size(F.filter("ts", lambda x: x.c > common)).alias("many"), F.filter(F.slice("ts", F.lit(1), F.greatest(F.lit(0), free).cast("int")), lambda x: x.c <= common).alias("rare"))
+    known = scratch.write(known)
+    one = known.select("rep", "n", "comp", "odd", F.explode("rare.t").alias("t"))
+    two = one.select("t", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "comp", "odd")])
+    may = (F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")) & _sizes_fit(F.col("n"), F.col("n2"), similar) & ~_apart(F.col("odd"), F.col("odd2"), F.col("n"), F.col("n2"), similar)
+    rare = one.join(two, "t").filter(may).select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
+
+    # Members that have enough common shingles for some partner of their bucket, the smallest of those with enough for anyone.
+    enough = lambda m, n, other: m * (100 + similar) >= (n + other) * similar
+    rich = mixed.join(known.select("rep", "many"), "rep").filter(enough(F.col("many"), F.col("n"), F.col("n") * similar / 100))
+    small = rich.groupBy("key").agg(F.min("n").alias("least"))
+    rich = scratch.write(rich.join(small, "key").filter(enough(F.col("many"), F.col("n"), F.greatest(F.col("least"), F.col("n") * similar / 100))).select(*mixed.columns))
+    return rare.unionByName(_met(rich, _minor(rich), similar)).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: int = SIMILAR, sides: int = SIDES) -> DataFrame:
     """One row for each row of docs: doc_id (as long), n_shingles, component_id, kept.
 
@@ -198,7 +247,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = scratch.write(_confirm(star, sets, similar))
     label = components(links, scratch)
 
-    # What a leader cannot tell: pairs across components. First a few further leaders for each bucket, then all.
+    # What a leader cannot tell: pairs across components. First a few further leaders for each bucket, then all that may be.
     seen = star
     for k in range(LEADERS + 1):
         placed = members.select("key", "rep", "n").join(label.select(F.col("node").alias("rep"), "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
@@ -208,7 +257,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             lead = mixed.filter("comp = main").groupBy("key").agg(F.max(order).alias("m")).select("key", F.col("m.x.rep").alias("rep2"), F.col("m.x.n").alias("n2"), F.col("m.x.comp").alias("comp2"), F.col("m.x.odd").alias("odd2"))
             met = _met(mixed.filter("comp <> main"), lead, similar)
         else:
-            met = _met(mixed, _minor(mixed), similar)
+            met = _left(mixed, sets, scratch, similar)
         met = scratch.write(met.join(seen, ["a", "b"], "left_anti"))
         if not met.isEmpty():
             links = scratch.write(links.unionByName(_confirm(met, sets, similar)))

@@ -68,3 +68,41 @@ def test_components_of_paths_and_stars(spark):
     got = {r["node"]: r["comp"] for r in label.collect()}
     assert {got[k] for k in range(10, 41)} == {10} and {got[k] for k in [*range(50, 60), 99]} == {50} and got[61] == 60
     assert label.groupBy("node").count().filter(F.col("count") > 1).count() == 0
+
+
+def template(k, share=0.82, n=120):
+    """Pages of one template: most words are the same in all, in runs, and each page has its own ones between."""
+    r, body = random.Random(k), words(1, n, 5000).split(" ")
+    own = [f"own{k}x{j}" for j in range(round(n * (1 - share)))]
+    at = n // 2
+    return " ".join(body[:at] + own + body[at:]) + (f" end{k % 3}" if r.random() < 0.5 else "")
+
+
+def test_pages_of_a_template_and_copies_among_them(spark, tmp_path):
+    texts = [(k, template(k)) for k in range(150)]
+    texts += [(200 + k, edited(template(k), 0.01, k)) for k in range(0, 60, 3)] + [(300 + k, template(400 + k, 0.9)) for k in range(40)]
+    sf = saved(spark, tmp_path, documents=documents(spark, texts))
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in op2_minhash_near_dedup(spark, sf).collect())
+    assert got == brute(texts) and len({c for _, _, c, _ in got}) > 100
+
+
+def test_pairs_left_over_are_found_whatever_is_common(spark):
+    """All similar pairs of one bucket without any leader, with few and with many common shingles."""
+    from tessera.llm.neardup import _left, sketch
+
+    import numpy as np
+
+    r = random.Random(2)
+    core = [r.getrandbits(62) for _ in range(400)]
+    sets = []
+    for k in range(120):
+        own = r.sample(core, r.choice([40, 120, 200])) if k % 2 else core[: r.choice([100, 110, 130])]
+        sets.append(np.unique(np.array([*own, *[r.getrandbits(62) for _ in range(r.choice([0, 10, 30]))]], np.uint64)))
+    sets += [np.unique(np.append(sets[k][2:], np.uint64(k))) for k in range(0, 40, 2)]
+    rows = [(7, k, len(s), k, 0, sketch(s)) for k, s in enumerate(sets)]
+    mixed = spark.createDataFrame(rows, "key long, rep long, n int, comp long, main long, odd array<long>")
+    stored = spark.createDataFrame([(k, bytearray(s.tobytes())) for k, s in enumerate(sets)], "rep long, s binary")
+    similar = {(a, b) for b, y in enumerate(sets) for a, x in enumerate(sets[:b]) if 100 * len(np.intersect1d(x, y)) >= 75 * len(np.union1d(x, y))}
+    for common in (1, 8, 64, 1000):
+        got = {tuple(x) for x in _left(mixed, stored, Scratch(spark, "t"), 75, common).collect()}
+        assert similar <= got, common
