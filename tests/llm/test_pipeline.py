@@ -60,3 +60,20 @@ def test_near_keeps_one_row_of_each_group_whatever_its_id(spark, tmp_path):
     assert [x for x in got if x[1].startswith(a)] == [("5", a + " tail")]
     assert [x[0] for x in got if x[1].startswith(b)] == ["None"] and [x[0] for x in got if x[1].startswith(c)] == ["9"]
     assert ("9", d) in got and len(got) == 3 + 1 + 2 + 3
+
+
+def test_odd_rows_at_every_stage(spark, tmp_path):
+    """Null ids, repeated rows and ids, long texts, empty texts and clashing names: no stage fails, drops or joins rows that it
+    should not."""
+    item, long = words(900, 30), words(903, 30_000)
+    rows = [(None, words(1, 50)), (None, words(2, 50)), (3, words(3, 50)), (3, words(4, 50)), (5, long), (6, "12 34"), (7, None), (8, ""), (9, "a\n" * 2000), (None, words(5, 20) + " " + item), (3, words(3, 50))]
+    sf = tables(spark, tmp_path, rows, [(1, item), (1, item), (None, "x"), (2, None)], [(3, 1, 0), (3, 0, 0), (None, 1, 1)])
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("*", "hits AS row", "lang AS items", "n_chars AS posterior", "source AS __row")
+    sizes = []
+    for name, stage in cp.STAGES:
+        out = cp.Scratch(spark, "t").write(stage(spark, docs, sf))
+        assert set(docs.columns) - {"posterior"} <= set(out.columns), name
+        sizes.append(out.count())
+        docs = out
+    assert sizes[:4] == [8, 8, 7, 6]
+    assert {r["row"] for r in docs.collect()} == {7}
