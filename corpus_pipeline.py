@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, aside, spread, table
+from tessera.llm.common import Scratch, aside, spread, table, unused
 from tessera.llm.decontam import mark_benchmark
 from tessera.llm.langid import UNKNOWN, held_out, predict, train
 from tessera.llm.linededup import dedup_lines
@@ -18,8 +18,9 @@ from tessera.llm.neardup import near_duplicates
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (no text or no letter) go; lang becomes the predicted one. Where no document has a
-    lang to learn from, all stay as they are."""
+    """Documents without a language (no text or no letter: null, empty, or digits only) go; lang becomes the predicted one, the
+    first by name of tied ones. Where no document has a lang to learn from, all stay as they are. Repeated rows are treated
+    alike, and a null doc_id is like any other."""
     moved, back = aside(docs, {"lang_pred", "score"})
     model = train(docs.filter(~held_out()).select("lang", "text"))
     if not model.langs:
@@ -29,33 +30,37 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go, and documents of which nothing but white space is left; n_chars follows the text."""
+    """Repeated lines go, and documents of which nothing but white space is left; n_chars follows the text. Documents that had
+    white space only from the start stay; null texts become empty. Rows that repeat a doc_id are documents of their own, and
+    all that have the largest doc_id of a line keep it; a null doc_id is below all others."""
     moved, back = aside(docs, {"n_lines", "n_dropped"})
     out = dedup_lines(moved).filter((F.col("n_dropped") == 0) | (F.btrim("text", F.lit(" \t\n\x0b\x0c\r")) != ""))
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*back)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays: one with the smallest doc_id, or without any if none has one. Rows are
-    numbered, and linked by number, so that null and repeated ids are like any others."""
-    scratch = Scratch(spark, "rows")
-    rows = scratch.write(docs.withColumn("__row", F.monotonically_increasing_id()))
-    found = near_duplicates(spread(rows), "__row").filter("n_shingles > 0").select(F.col("doc_id").alias("__row"), "component_id")
-    found = scratch.write(found.join(rows.select("__row", F.col("doc_id").cast("long").alias("id")), "__row"))
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__row"))
-    stay = found.groupBy("component_id").agg(first.alias("m")).select(F.col("m.__row").alias("__row"))
-    return rows.join(found.join(stay, "__row", "left_anti").select("__row"), "__row", "left_anti").select(*docs.columns)
+    """One row of each group of near copies stays: one with the smallest doc_id, or without any if none has one; of repeated
+    rows with that doc_id the first by number. Rows are numbered, and linked by number, so that null and repeated ids are
+    like any others. Documents without words are in no group and stay."""
+    scratch, (row,) = Scratch(spark, "rows"), unused(docs, "row")
+    rows = scratch.write(docs.withColumn(row, F.monotonically_increasing_id()))
+    found = near_duplicates(spread(rows), row).filter("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id")
+    found = scratch.write(found.join(rows.select(row, F.col("doc_id").cast("long").alias("id")), row))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", F.col(row).alias("number")))
+    stay = found.groupBy("component_id").agg(first.alias("m")).select(F.col("m.number").alias(row))
+    return rows.join(found.join(stay, row, "left_anti").select(row), row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a window of a benchmark item go."""
+    """Documents with a window of a benchmark item go, whatever their ids; null and empty texts have none and stay."""
     moved, back = aside(docs, {"n_words", "hits", "items"})
     return mark_benchmark(moved, table(spark, sf_dir, "benchmark")).filter(F.size("hits") == 0).select(*back)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with n_tokens, domain, rate and copies, which replace columns of these names; those with no copy in the
-    mix go."""
+    mix go, among them all that are likeliest toxic. A rate is rounded by a hash of the doc_id: rows that repeat one, or have
+    none, are rounded alike. Without labels every document has one copy."""
     out = mix(docs, domain_labels(table(spark, sf_dir, "labels"))).filter(F.col("copies") > 0)
     new = ["n_tokens", "domain", "rate", "copies"]
     return out.select(*[c for c in docs.columns if c.lower() not in {*new, "posterior"}], *new)
