@@ -168,9 +168,9 @@ def _minor(mixed: DataFrame) -> DataFrame:
     return mixed.filter("comp <> main").select("key", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), F.col("odd").alias("odd2"))
 
 
-def _met(mixed: DataFrame, others: DataFrame, similar: int) -> DataFrame:
-    """Pairs of different components in a bucket that their sizes and sketches let be similar."""
-    may = (F.col("comp") != F.col("comp2")) & _sizes_fit(F.col("n"), F.col("n2"), similar) & ~_apart(F.col("odd"), F.col("odd2"), F.col("n"), F.col("n2"), similar)
+def _met(mixed: DataFrame, others: DataFrame, similar: int, also=True) -> DataFrame:
+    """Pairs of different components in a bucket that their sizes, their sketches and a further condition let be similar."""
+    may = F.lit(True) & also & (F.col("comp") != F.col("comp2")) & _sizes_fit(F.col("n"), F.col("n2"), similar) & ~_apart(F.col("odd"), F.col("odd2"), F.col("n"), F.col("n2"), similar)
     return mixed.join(others, "key").filter(may).select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
 
 
@@ -210,12 +210,15 @@ def _left(mixed: DataFrame, sets: DataFrame, scratch: Scratch, similar: int, com
     may = (F.col("rep") < F.col("rep2")) & (F.col("comp") != F.col("comp2")) & _sizes_fit(F.col("n"), F.col("n2"), similar) & ~_apart(F.col("odd"), F.col("odd2"), F.col("n"), F.col("n2"), similar)
     rare = one.join(two, "t").filter(may).select(F.col("rep").alias("a"), F.col("rep2").alias("b"))
 
-    # Members that have enough common shingles for some partner of their bucket, the smallest of those with enough for anyone.
+    # One of a pair is outside its bucket's largest component: such members first, then what has enough common shingles for the
+    # smallest of them in its bucket.
     enough = lambda m, n, other: m * (100 + similar) >= (n + other) * similar
-    rich = mixed.join(known.select("rep", "many"), "rep").filter(enough(F.col("many"), F.col("n"), F.col("n") * similar / 100))
-    small = rich.groupBy("key").agg(F.min("n").alias("least"))
-    rich = scratch.write(rich.join(small, "key").filter(enough(F.col("many"), F.col("n"), F.greatest(F.col("least"), F.col("n") * similar / 100))).select(*mixed.columns))
-    return rare.unionByName(_met(rich, _minor(rich), similar)).distinct()
+    rich = known.filter(enough(F.col("many"), F.col("n"), F.col("n") * similar / 100)).select("rep", "many")
+    minor = scratch.write(_minor(mixed).join(rich.select(F.col("rep").alias("rep2"), F.col("many").alias("many2")), "rep2"))
+    near = mixed.join(minor.groupBy("key").agg(F.min("n2").alias("least")), "key").join(rich, "rep")
+    near = scratch.write(near.filter(enough(F.col("many"), F.col("n"), F.greatest(F.col("least"), F.col("n") * similar / 100))))
+    both = enough(F.col("many"), F.col("n"), F.col("n2")) & enough(F.col("many2"), F.col("n2"), F.col("n"))
+    return rare.unionByName(_met(near, minor, similar, both)).distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similar: int = SIMILAR, sides: int = SIDES) -> DataFrame:
