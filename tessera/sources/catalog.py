@@ -24,6 +24,7 @@ from ..functions.types import settle
 from ..plans.partitions import Sharding, counts_agree, group_shards, obstacle
 from .cache import TtlCache
 from .overrides import DeclaredField, read_override
+from .store import unbroadcast
 
 log = logging.getLogger(__name__)
 # The store's own attributes of documents and of edges.
@@ -185,7 +186,7 @@ class Engine:
                 if c is None or n != c.name and not isinstance(c.type, T.TimestampType):
                     raise NotFoundError(f"column {n} does not exist")
                 out.append(self._column(c) if n == c.name else mat.with_offset(mat.field(F.col("doc"), base)).alias(n))
-        return docs.select(*out, *extra)
+        return unbroadcast(docs, docs.select(*out, *extra))
 
     def _column(self, c: ColumnInfo) -> Column:
         value = mat.field(F.col("doc"), c.name)

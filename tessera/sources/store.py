@@ -38,6 +38,19 @@ def stored_documents(spark: SparkSession, key: str, name: str, make, small: bool
     return spark.read.parquet(_stored[at])
 
 
+def unbroadcast(docs: DataFrame, typed: DataFrame) -> DataFrame:
+    """typed, kept from being broadcast in a join by size if docs, its source, is above the threshold. Spark takes a VARIANT for 2048
+    bytes, so that a few typed columns of it count as a hundredth of the files or less. Small sources may be broadcast as ever,
+    also into a join with a large one, and an explicit broadcast hint outside wins."""
+    spark = typed.sparkSession
+    session, plans = spark._jsparkSession, spark._jvm.org.apache.spark.sql.catalyst.plans.logical
+    if docs.isStreaming or docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= session.sessionState().conf().autoBroadcastJoinThreshold():
+        return typed
+    never = getattr(getattr(plans, "NO_BROADCAST_HASH$"), "MODULE$")
+    plan = plans.ResolvedHint(typed._jdf.queryExecution().analyzed(), plans.HintInfo(spark._jvm.scala.Some(never)))
+    return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, plan), spark)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession

@@ -336,3 +336,21 @@ def test_collections_under_a_root(spark, tmp_path):
     assert sorted(r["age"] for t in ("logs", "users") for r in e.table("shop", t).collect()) == [36, 36, 41, 41]
     with pytest.raises(InvalidArgumentError):
         Engine(spark).discover()
+
+
+def test_a_large_collection_is_not_broadcast_for_its_few_columns(spark, tmp_path):
+    for name, rows in (("large", 20_000), ("small", 5)):
+        spark.range(rows).select(F.to_json(F.struct("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))).alias("json")).select(F.parse_json("json").alias("doc")).coalesce(1).write.parquet(str(tmp_path / name))
+    e = Engine(spark).register_path("shop", "large", str(tmp_path / "large")).register_path("shop", "small", str(tmp_path / "small"))
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        large, other, small = (e.table("shop", t).select("id") for t in ("large", "large", "small"))
+        for how, table, shown in (("right", other, "SortMergeJoin"), ("inner", other, "SortMergeJoin"), ("inner", small, "BuildRight"), ("left", small, "BuildRight")):
+            out = large.join(table, "id", how)
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert shown in plan and ("Broadcast" in plan) == (shown == "BuildRight"), (how, plan)
+            assert out.count() == (5 if (how, table) == ("inner", small) else 20_000)
+        assert "BroadcastHashJoin" in small.join(F.broadcast(large), "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
