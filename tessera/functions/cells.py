@@ -36,6 +36,7 @@ def _is_integer(kind: Column) -> Column:
 
 
 def _get(x: Column, t: str) -> Column:
+    """Spark makes an expression for each value that it casts so; the text of a number or a boolean is cheaper to have."""
     return F.try_variant_get(x, "$", t)
 
 
@@ -122,7 +123,7 @@ def _decimal(x: Column, t: T.DecimalType) -> Column:
 def _bigint(x: Column) -> Column:
     kind, d = _kind(x), _get(x, "double")
     inside = (d == F.rint(d)) & (d >= -(2.0**63)) & (d < 2.0**63)
-    return F.when(_is_integer(kind), _get(x, "bigint")).when(kind.isin("DOUBLE", "FLOAT"), F.when(inside, d.try_cast("bigint")))
+    return F.when(kind == "BIGINT", F.to_json(x).try_cast("bigint")).when(_is_integer(kind), _get(x, "bigint")).when(kind.isin("DOUBLE", "FLOAT"), F.when(inside, d.try_cast("bigint")))
 
 
 def _time(x: Column, t: T.DataType) -> Column:
@@ -138,7 +139,7 @@ def _time(x: Column, t: T.DataType) -> Column:
 def materialize(x: Column, t: T.DataType) -> Column:
     """The typed column of a VARIANT column; NULL where a value, or a part of it, does not fit."""
     if isinstance(t, T.BooleanType):
-        return F.when(_kind(x) == "BOOLEAN", _get(x, "boolean"))
+        return F.when(_kind(x) == "BOOLEAN", F.to_json(x) == "true")
     if isinstance(t, T.LongType):
         return _bigint(x)
     if isinstance(t, T.DoubleType):

@@ -24,7 +24,7 @@ from .config import EngineConfig
 from .operators import neighbors, shortest_paths, traverse
 from .plans.partitions import Sharding
 from .sources import Engine
-from .sources.store import shared_folder, stored_documents
+from .sources.store import shared_folder, spread, stored_documents
 from .streaming import typed_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -52,18 +52,18 @@ def engine(spark: SparkSession, sf: str, config: EngineConfig | None = None) ->
         tags = F.concat(F.lit("["), F.col("l_linenumber").cast("string"), F.lit(","), _text(F.col("l_returnflag")), F.lit(","), (F.col("l_linenumber") * 2).cast("string"), F.lit(".0]"))
         ship = _json(date=_text(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")), status=F.when(k != 2, _text(F.col("l_linestatus"))))
         doc = _json(_key=_text(name), _id=_text(F.concat(F.lit("items/"), name)), _rev=_text(F.lit("r1")), order=F.col("l_orderkey").cast("string"), line=F.col("l_linenumber").cast("string"), quantity=quantity, price=price, flag=F.when(k == 1, F.lit("42")).otherwise(_text(F.col("l_returnflag"))), taxed=F.when(k == 0, _text(F.lit("yes"))).otherwise((F.col("l_tax") > 0.04).cast("string")), tags=tags, ship=ship)
-        return read("lineitem").select(doc.alias("json"), F.pmod("l_orderkey", F.lit(4)).cast("string").alias("shard"))
+        return spread(read("lineitem")).select(doc.alias("json"), F.pmod("l_orderkey", F.lit(4)).cast("string").alias("shard"))
 
     def sales() -> DataFrame:
         doc = _json(_key=_text(F.col("o_orderkey").cast("string")), id=F.col("o_orderkey").cast("string"), customer=F.col("o_custkey").cast("string"), status=_text(F.col("o_orderstatus")), total=F.concat(F.floor("o_totalprice").cast("string"), F.lit(".5")), urgent=F.col("o_orderpriority").startswith("1").cast("string"))
-        return read("orders").select(doc.alias("json"), F.col("o_orderkey").alias("at"))
+        return spread(read("orders")).select(doc.alias("json"), F.col("o_orderkey").alias("at"))
 
     def declared() -> DataFrame:
         day = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
         cents = F.concat((F.col("o_orderkey") * 7).cast("string"), F.lit("."), F.lpad((F.col("o_orderkey") % 100).cast("string"), 2, "0"))
         total = F.when(F.col("o_orderkey") % 5 == 0, F.concat(cents, F.lit("1"))).otherwise(cents)
         doc = _json(id=F.col("o_orderkey").cast("string"), total=_text(total), placed=_text(F.concat(day, F.when(F.col("o_orderkey") % 3 == 0, ".1234").otherwise(".250"))), seen=_text(F.concat(day, F.when(F.col("o_orderkey") % 2 == 0, "+05:30").otherwise("Z"))), big=F.when(F.col("o_orderkey") % 4 == 0, F.lit("18446744073709551615")).otherwise(F.col("o_orderkey").cast("string")), note=_text(F.lit("secret")))
-        return read("orders").select(doc.alias("json"))
+        return spread(read("orders")).select(doc.alias("json"))
 
     def people() -> DataFrame:
         k = F.col("c_custkey") % 4
@@ -71,7 +71,7 @@ def engine(spark: SparkSession, sf: str, config: EngineConfig | None = None) ->
         big = F.when(k == 1, F.lit("9007199254740993")).when(k == 2, F.lit("18014398509481983")).otherwise(F.col("c_custkey").cast("string"))
         zero = F.when(k == 0, F.lit("0")).when(k == 1, F.lit("-0.0")).when(k == 2, F.lit("0.0")).otherwise(F.lit("-0.0e0"))
         doc = _json(_key=_text(F.col("c_custkey").cast("string")), id=F.col("c_custkey").cast("string"), name=_text(F.col("c_name")), address=address, big=big, near=big, zero=zero, balance=F.col("c_acctbal").cast("string"))
-        return read("customer").select(doc.alias("json"))
+        return spread(read("customer")).select(doc.alias("json"))
 
     def places() -> DataFrame:
         nation = _json(_key=_text(F.concat(F.lit("n"), F.col("n_nationkey"))), _id=_text(F.concat(F.lit("places/n"), F.col("n_nationkey"))), name=_text(F.col("n_name")))

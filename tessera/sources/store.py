@@ -1,10 +1,13 @@
-"""Collections stored as Parquet with a VARIANT column, so that scans read only the paths that a query touches."""
+"""Collections stored as Parquet with a VARIANT column, from which scans take only the paths that a query touches."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,18 +25,34 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df in at least as many partitions as there are cores. For source rows: documents made of them are far wider to deal out."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
+@contextmanager
+def _whole(spark: SparkSession) -> Iterator[None]:
+    """VARIANT is written in one piece meanwhile. Split into columns by type it takes twice the time to write, and whole documents of
+    this size are scanned as fast."""
+    key = "spark.sql.variant.writeShredding.enabled"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, was)
+
+
 def stored_documents(spark: SparkSession, key: str, name: str, make, small: bool = False) -> DataFrame:
     """The documents of make() (JSON text in `json`, and other columns), written once in a session as `doc`; into one
     file if small, else into as many files as there are cores at least."""
     at = (spark.sparkContext.applicationId, key, name)
     if at not in _stored:
         path = f"{shared_folder(spark)}/documents-{uuid.uuid4().hex}/{name}"
-        df, cores = make(), spark.sparkContext.defaultParallelism
-        if small:
-            df = df.coalesce(1)
-        elif df._jdf.queryExecution().toRdd().getNumPartitions() < cores:
-            df = df.repartition(cores)
-        df.withColumn("doc", F.try_parse_json("json")).drop("json").write.parquet(path)
+        df = make().coalesce(1) if small else spread(make())
+        with _whole(spark):
+            df.withColumn("doc", F.try_parse_json("json")).drop("json").write.parquet(path)
         _stored[at] = path
     return spark.read.parquet(_stored[at])
 

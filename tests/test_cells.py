@@ -106,3 +106,13 @@ def test_long_values_are_cut_in_messages(spark):
 def test_other_types_are_refused(spark, t):
     with pytest.raises(TypeError):
         materialize(F.lit(None).cast("variant"), t)
+
+
+def test_plain_numbers_and_booleans_make_no_cast_of_a_variant(spark):
+    df = spark.sql("SELECT parse_json(j) AS v FROM VALUES ('9223372036854775807'), ('-9223372036854775808'), ('9223372036854775808'), ('true'), ('false'), ('\"1\"'), ('\"true\"'), ('null'), ('1.0'), ('1e0'), ('1.5'), ('[1]') t(j)")
+    out = df.select(materialize(F.col("v"), T.LongType()).alias("n"), materialize(F.col("v"), T.BooleanType()).alias("b"))
+    none = [None]
+    assert [r["n"] for r in out.collect()] == [2**63 - 1, -(2**63)] + none * 6 + [1, 1] + none * 2
+    assert [r["b"] for r in out.collect()] == none * 3 + [True, False] + none * 7
+    plan = out.select("b")._jdf.queryExecution().optimizedPlan().toString()
+    assert "BooleanType" not in plan

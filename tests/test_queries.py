@@ -45,3 +45,16 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_documents_are_written_whole_from_spread_source_rows(spark):
+    from tessera import queries as q
+    from tessera.sources import store
+
+    was = spark.conf.get("spark.sql.variant.writeShredding.enabled")
+    docs = q.engine(spark, SF).databases["shop"]["sales"].documents()
+    assert len(docs.inputFiles()) == spark.sparkContext.defaultParallelism
+    import pyarrow.parquet as pq
+
+    assert "typed_value" not in str(pq.ParquetFile(docs.inputFiles()[0].removeprefix("file:").replace("///", "/")).schema)
+    assert spark.conf.get("spark.sql.variant.writeShredding.enabled") == was and store._stored
