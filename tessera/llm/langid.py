@@ -27,11 +27,6 @@ UNKNOWN = "und"
 VOTES = 10
 
 
-def _grams(word: str, n: int) -> list[str]:
-    w = f"^{word}$"
-    return [w[k : k + n] for k in range(len(w) - n + 1)]
-
-
 class LangModel:
     """langs, and log frequencies by word and by n-gram length; all languages have a floor for what they lack."""
 
@@ -42,15 +37,18 @@ class LangModel:
         """Log posterior of each language given one word."""
         v = self.words.get(word)
         if v is None:
+            w = f"^{word}$"
             for n in range(LONGEST, 0, -1):
-                known = [g for x in _grams(word, n) if (g := self.grams[n - 1].get(x)) is not None]
+                get = self.grams[n - 1].get
+                known = [g for k in range(len(w) - n + 1) if (g := get(w[k : k + n])) is not None]
                 if known:
-                    v = np.mean(known, 0)
+                    v = known[0] if len(known) == 1 else np.add.reduce(known) / len(known)
                     break
             else:
                 v = np.zeros(len(self.langs))
-        top = v.max()
-        return v - top - math.log(np.exp(v - top).sum())
+        plain = v.tolist()  # for so few numbers faster than arrays
+        top = max(plain)
+        return v - (top + math.log(sum([math.exp(x - top) for x in plain])))
 
 
 class Scorer(dict):
@@ -189,7 +187,7 @@ def predict(docs: DataFrame, model: LangModel, text: str = "text") -> DataFrame:
         import pyarrow as pa
 
         scorer = Scorer(sent.value)
-        for batch in batches:
+        for batch in (b.slice(k, 1_000) for b in batches for k in range(0, b.num_rows, 1_000)):  # all columns go back: in small pieces
             got = [scorer.score(x.as_py()) for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 

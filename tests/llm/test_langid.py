@@ -88,3 +88,15 @@ def test_ties_go_to_the_first_language_and_equal_texts_are_equal(spark):
     rows = [(k, "one two three", lang) for k, lang in enumerate(["zz", "aa"] * 20)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert {(r["lang_pred"], round(r["score"], 6)) for r in predict(df, train(df)).collect()} == {("aa", 0.5)}
+
+
+def test_results_go_back_in_small_pieces_and_whole(spark):
+    import numpy as np
+
+    from tessera.llm.langid import LangModel
+
+    model = LangModel(["aa", "bb"], {"one": np.log([0.75, 0.25])}, [{}, {"wo": np.log([0.2, 0.8])}, {"^un": np.log([0.5, 0.25]), "uno": np.log([0.25, 0.25])}, {}, {}])
+    assert np.allclose(np.exp(model.word("one")), [0.75, 0.25]) and np.allclose(np.exp(model.word("two")), [0.2, 0.8])
+    assert np.allclose(np.exp(model.word("uno")), [2**0.5 / (1 + 2**0.5), 1 / (1 + 2**0.5)]) and np.allclose(np.exp(model.word("x")), 0.5)
+    out = predict(spark.range(0, 2_500, 1, 1).selectExpr("id AS doc_id", "'one two' AS text"), model).collect()
+    assert sorted(r["doc_id"] for r in out) == list(range(2_500)) and {(r["text"], r["lang_pred"]) for r in out} == {("one two", "bb")}
