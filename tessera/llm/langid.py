@@ -27,22 +27,34 @@ UNKNOWN = "und"
 VOTES = 10
 
 
+class Rows(dict):
+    """key -> number of its row in one array: a fraction of the memory that an array for each key takes."""
+
+    def __init__(self, keys: list[str], rows: np.ndarray):
+        super().__init__(zip(keys, range(len(keys)), strict=True))
+        self.rows = rows
+
+
 class LangModel:
-    """langs, and log frequencies by word and by n-gram length; all languages have a floor for what they lack."""
+    """langs, and log frequencies by word and by n-gram length; all languages have a floor for what they lack. Each executor
+    has a copy for every core, so that its size counts."""
 
     def __init__(self, langs: list[str], words: dict[str, np.ndarray], grams: list[dict[str, np.ndarray]]):
-        self.langs, self.words, self.grams = langs, words, grams
+        self.langs = langs
+        self.words, *self.grams = [t if isinstance(t, Rows) else Rows(list(t), np.array(list(t.values())).reshape(len(t), len(langs))) for t in (words, *grams)]
 
     def word(self, word: str) -> np.ndarray:
         """Log posterior of each language given one word."""
-        v = self.words.get(word)
-        if v is None:
+        at = self.words.get(word)
+        if at is not None:
+            v = self.words.rows[at]
+        else:
             w = f"^{word}$"
             for n in range(LONGEST, 0, -1):
-                get = self.grams[n - 1].get
+                get, rows = self.grams[n - 1].get, self.grams[n - 1].rows
                 known = [g for k in range(len(w) - n + 1) if (g := get(w[k : k + n])) is not None]
                 if known:
-                    v = known[0] if len(known) == 1 else np.add.reduce(known) / len(known)
+                    v = rows[known[0]] if len(known) == 1 else np.add.reduce(rows[known]) / len(known)
                     break
             else:
                 v = np.zeros(len(self.langs))
@@ -113,6 +125,13 @@ def _quotas(sizes: dict[str, int], bound: int) -> dict[str, int]:
     return out
 
 
+def _small(spark, rows: list[tuple], **kinds: str) -> DataFrame:
+    """A few rows as a table that the driver alone makes; createDataFrame of a list keeps Python workers busy on the executors."""
+    import pyarrow as pa
+
+    return spark.createDataFrame(pa.table({c: pa.array([r[k] for r in rows], t) for k, (c, t) in enumerate(kinds.items())}))
+
+
 def draw(have: DataFrame, scratch: Scratch, bound: int) -> DataFrame:
     """(lang, text): at most bound distinct ones of have (or one for each language), of every language those with the
     smallest hashes. Only about as many hashes as are asked for are sorted."""
@@ -121,7 +140,7 @@ def draw(have: DataFrame, scratch: Scratch, bound: int) -> DataFrame:
     each = scratch.write(hashed.select(*keys).distinct())
     sizes = {r["lang"]: r["n"] for r in each.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     wanted = [(lang, q, min(1.0, (1.2 * q + 30) / sizes[lang])) for lang, q in _quotas(sizes, bound).items()]
-    few = each.join(F.broadcast(have.sparkSession.createDataFrame(wanted, "lang string, quota long, share double")), "lang")
+    few = each.join(F.broadcast(_small(have.sparkSession, wanted, lang="string", quota="int64", share="double")), "lang")
     few = few.filter(F.pmod("h1", F.lit(1 << 40)) <= F.col("share") * (1 << 40))
     first = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h1", F.lit(1 << 40)), "h1", "h2"))
     few = scratch.write(few.withColumn("r", first).filter(F.col("r") <= F.col("quota")).select(*keys))
@@ -144,7 +163,7 @@ def frequent(counts: DataFrame, most: dict[int, int], default: int) -> DataFrame
                 break
             left -= by_n[n]
         cuts.append((lang, k, cut, share))
-    few = counts.sparkSession.createDataFrame(cuts, "lang string, k int, cut long, share double")
+    few = _small(counts.sparkSession, cuts, lang="string", k="int32", cut="int64", share="double")
     lucky = (F.col("n") == F.col("cut")) & (F.pmod(F.xxhash64(F.lit(9), "word"), F.lit(1 << 40)) < F.col("share") * (1 << 40))
     return counts.join(F.broadcast(few), ["lang", "k"]).filter((F.col("n") > F.col("cut")) | lucky).select("lang", "k", "word", "n")
 
@@ -152,6 +171,9 @@ def frequent(counts: DataFrame, most: dict[int, int], default: int) -> DataFrame
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text", max_docs: int = 20_000, max_words: int = 20_000, max_grams: int = 5_000) -> LangModel:
     """Rows without text or lang teach nothing; without any rows the model knows no language and answers "und". Repeated rows
     count as often as they occur, in a drawn sample once."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     have = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     scratch = Scratch(labelled.sparkSession, "langid")
     if have.count() > max_docs:
@@ -162,16 +184,16 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", max_docs:
     grams = grams.filter(F.length("m") >= F.col("k")).select("lang", "k", "n", F.explode(F.expr("transform(sequence(1, length(m) - k + 1), i -> substring(m, i, k))")).alias("word"))
     both = counts.select("lang", F.lit(0).alias("k"), "word", "n").unionByName(grams.groupBy("lang", "k", "word").agg(F.sum("n").alias("n")).select("lang", "k", "word", "n"))
     both = scratch.write(both)
-    kept = frequent(both, {0: max_words}, max_grams).collect()  # a bounded number for each language
-    langs = sorted({r["lang"] for r in kept})
-    at = {x: k for k, x in enumerate(langs)}
-    tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
-    for r in kept:
-        tables[r["k"]].setdefault(r["word"], np.zeros(len(langs)))[at[r["lang"]]] += r["n"]
-    for k, t in enumerate(tables):
-        total = sum(t.values(), np.zeros(len(langs))) + 0.5 * len(t)
-        for w in t:
-            t[w] = np.log((t[w] + 0.5) / np.maximum(total, 1e-9))
+    kept = frequent(both, {0: max_words}, max_grams).toArrow()  # a bounded number for each language
+    langs = sorted(pc.unique(kept["lang"]).to_pylist())
+    tables = []
+    for k in range(LONGEST + 1):
+        part = kept.filter(pc.equal(kept["k"], k))
+        keys = part["word"].combine_chunks().dictionary_encode()
+        rows = np.zeros((len(keys.dictionary), len(langs)))
+        rows[keys.indices.to_numpy(), pc.index_in(part["lang"], pa.array(langs, pa.string())).to_numpy()] = part["n"].to_numpy()
+        total = rows.sum(0) + 0.5 * len(rows)
+        tables.append(Rows(keys.dictionary.to_pylist(), np.log((rows + 0.5) / np.maximum(total, 1e-9))))
     return LangModel(langs, tables[0], tables[1:])
 
 
