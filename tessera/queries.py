@@ -24,7 +24,7 @@ from .config import EngineConfig
 from .operators import neighbors, shortest_paths, traverse
 from .plans.partitions import Sharding
 from .sources import Engine
-from .sources.store import shared_folder, spread, stored_documents
+from .sources.store import dealt, shared_folder, spread, stored_documents
 from .streaming import typed_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -595,22 +595,27 @@ def join_vertex_edge(e):
 _LINES = ("line", "price", "quantity", "flag")
 
 
+def _orders(e: Engine) -> DataFrame:
+    """The lines, those of an order together."""
+    return dealt(_items(e).select("order", *_LINES), "order")
+
+
 @_query(f'SELECT "order", line, row_number() OVER w AS r, rank() OVER v AS k, dense_rank() OVER v AS d, lag(line) OVER w AS p FROM {_ITEMS} WINDOW w AS (PARTITION BY "order" ORDER BY line, price NULLS FIRST, quantity NULLS FIRST, flag NULLS FIRST), v AS (PARTITION BY "order" ORDER BY flag NULLS FIRST)')
 def window_rank(e):
     w, v = Window.partitionBy("order").orderBy(*_LINES), Window.partitionBy("order").orderBy(F.asc_nulls_first("flag"))
-    return _items(e).select("order", "line", F.row_number().over(w).alias("r"), F.rank().over(v).alias("k"), F.dense_rank().over(v).alias("d"), F.lag("line").over(w).alias("p"))
+    return _orders(e).select("order", "line", F.row_number().over(w).alias("r"), F.rank().over(v).alias("k"), F.dense_rank().over(v).alias("d"), F.lag("line").over(w).alias("p"))
 
 
 @_query(f'SELECT "order", line, CAST(sum(quantity) OVER (PARTITION BY "order" ORDER BY line, price NULLS FIRST, quantity NULLS FIRST, flag NULLS FIRST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS s, max(quantity) OVER (PARTITION BY "order" ORDER BY line, price NULLS FIRST, quantity NULLS FIRST, flag NULLS FIRST ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS m, count(*) OVER (PARTITION BY "order" ORDER BY line RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS c FROM {_ITEMS}')
 def window_running_sum(e):
     w, by_line = Window.partitionBy("order").orderBy(*_LINES), Window.partitionBy("order").orderBy("line")
-    return _items(e).select("order", "line", F.sum("quantity").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"), F.max("quantity").over(w.rowsBetween(-1, 1)).alias("m"), F.count("*").over(by_line.rangeBetween(-2, 0)).alias("c"))
+    return _orders(e).select("order", "line", F.sum("quantity").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"), F.max("quantity").over(w.rowsBetween(-1, 1)).alias("m"), F.count("*").over(by_line.rangeBetween(-2, 0)).alias("c"))
 
 
 @_query(f'SELECT "order", line, ntile(2) OVER w AS t, round(percent_rank() OVER w, 9) AS p, round(cume_dist() OVER w, 9) AS c, first_value(line) OVER w AS f, lead(line, 1) OVER w AS l FROM {_ITEMS} WINDOW w AS (PARTITION BY "order" ORDER BY line, price NULLS FIRST, quantity NULLS FIRST, flag NULLS FIRST)')
 def window_distribution(e):
     w = Window.partitionBy("order").orderBy(*_LINES)
-    return _items(e).select("order", "line", F.ntile(2).over(w).alias("t"), F.round(F.percent_rank().over(w), 9).alias("p"), F.round(F.cume_dist().over(w), 9).alias("c"), F.first("line").over(w).alias("f"), F.lead("line", 1).over(w).alias("l"))
+    return _orders(e).select("order", "line", F.ntile(2).over(w).alias("t"), F.round(F.percent_rank().over(w), 9).alias("p"), F.round(F.cume_dist().over(w), 9).alias("c"), F.first("line").over(w).alias("f"), F.lead("line", 1).over(w).alias("l"))
 
 
 # -- declared types

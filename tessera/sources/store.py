@@ -70,6 +70,18 @@ def unbroadcast(docs: DataFrame, typed: DataFrame) -> DataFrame:
     return DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(session, plan), spark)
 
 
+def dealt(df: DataFrame, *keys: str, most: int = 16 << 20) -> DataFrame:
+    """df dealt out by keys into so many parts that each comes from about most bytes of files, where these are more than there
+    are cores: what sorts or holds a part then takes the same memory for tables of any size. Left to itself Spark puts small
+    parts together until there is one for each core."""
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size()))
+    if size >= int(spark._jsparkSession.sessionState().conf().defaultSizeInBytes()) or size <= most * spark.sparkContext.defaultParallelism:  # not known, or small
+        return df
+    return df.repartition(-(-size // most), *keys)
+
+
 def written(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back: cuts the lineage, and survives lost executors."""
     spark = df.sparkSession

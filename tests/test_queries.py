@@ -58,3 +58,20 @@ def test_documents_are_written_whole_from_spread_source_rows(spark):
 
     assert "typed_value" not in str(pq.ParquetFile(docs.inputFiles()[0].removeprefix("file:").replace("///", "/")).schema)
     assert spark.conf.get("spark.sql.variant.writeShredding.enabled") == was and store._stored
+
+
+@pytest.mark.parametrize("name", ["window_rank", "window_running_sum", "window_distribution"])
+def test_windows_over_large_tables_get_parts_of_one_size(spark, duck, monkeypatch, name):
+    from functools import partial
+
+    from tessera import queries
+
+    monkeypatch.setattr(queries, "dealt", partial(queries.dealt, most=10_000))
+    df = QUERIES[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    parts = df.rdd.getNumPartitions()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan and parts > 4
+    got = sorted(tuple(norm(r[c]) for c in sorted(df.columns)) for r in df.collect())
+    rel = duck.sql(SQL[name])
+    order = sorted(range(len(rel.columns)), key=lambda k: rel.columns[k])
+    assert got == sorted(tuple(norm(r[k]) for k in order) for r in rel.fetchall())
